@@ -7,9 +7,9 @@ dot-product heuristic. Rows that travel hold lengths and checksums, never token
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +22,8 @@ SEQUENCE_TOKENS = 1024
 MAX_SEGMENTS = 64
 #: Examples that are packed together; a packing loses about one sequence in so many examples.
 PACK_ROWS = 40_000
-#: Distinct pre-tokens whose ids a worker keeps.
-CACHE_ENTRIES = 400_000
-#: The bare pattern needs classes that ``re`` lacks; over these characters the plain one is the same.
-_PLAIN = re.compile(r"[\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ſ]*")
-_PLAIN_WORDS = re.compile(
-    r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+"
-    r"| ?[^\sA-Za-z0-9À-ÖØ-öø-ſ]+|\s+(?!\S)|\s+"
-)
-
-
+#: Distinct words whose ids a worker keeps.
+CACHE_ENTRIES = 600_000
 def tokenizer_path() -> str:
     """Default vocabulary file; found on the worker, where it is installed too."""
     import public_tokenizers
@@ -39,28 +31,37 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Uneven(Exception):
+    """White space before a space: the pieces between spaces are not independent."""
+
+
 class _Known(dict):
-    """Ids by pre-token; a missing one is encoded, and kept unless it is long."""
+    """Ids of a space and what follows it up to the next space.
+
+    No pre-token crosses a space that follows other than white space, so these pieces can be encoded
+    one by one. Long ones are not kept.
+    """
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, word: str) -> bytes:
-        got = self.encode(word)
-        if len(word) <= 64:
+    def __missing__(self, piece: str) -> bytes:
+        if not piece or piece[-1].isspace():
+            raise _Uneven
+        got = self.encode(" " + piece)
+        if len(piece) <= 48:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
-            self[word] = got
+            self[piece] = got
         return got
 
 
 class BpeBytes:
-    """Ids of texts as little-endian unsigned 32-bit strings, by pre-token.
+    """Ids of texts as little-endian unsigned 32-bit strings.
 
-    The ids of a text are those of its pre-tokens in turn, and pre-tokens repeat, so each is encoded
-    once per worker and looked up after that. The cache is emptied when full. Runs of one long
-    pre-token are not kept.
+    Words repeat, so each is encoded once per worker and looked up after that. The cache is emptied
+    when full.
     """
 
     def __init__(self, path: str | None = None):
@@ -102,9 +103,20 @@ class BpeBytes:
         return np.asarray(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if self.fast is None or not _PLAIN.fullmatch(text):
+        first, *rest = text.split(" ")
+        if self.fast is None or not rest:
+            return self._ids(text)
+        last = rest.pop()
+        try:
+            return b"".join([self._ids(first), *map(self.known.__getitem__, rest), self._ids(" " + last)])
+        except _Uneven:
             return self._ids(text)
-        return b"".join(map(self.known.__getitem__, _PLAIN_WORDS.findall(text)))
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str | None) -> BpeBytes:
+    """One per worker process; Spark reuses the process for further tasks."""
+    return BpeBytes(path)
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long"
@@ -118,7 +130,7 @@ def cut_pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = BpeBytes(path)
+        encode = encoder(path)
         for piece in text_pieces(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
