@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from rosterline.llm.packing import op9_packing
 from rosterline.llm.sharding import op8_sharding
+from rosterline.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
 }
