@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from rosterline.llm.embedding import OP3_SQL, op3_embedding_dedup
 from rosterline.llm.packing import op9_packing
 from rosterline.llm.sharding import op8_sharding
 from rosterline.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_simhash": op4_simhash,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_embedding_dedup": OP3_SQL,
+}
