@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from rosterline.llm.embedding import OP3_SQL, op3_embedding_dedup
 from rosterline.llm.packing import op9_packing
+from rosterline.llm.pii import op7_pii
 from rosterline.llm.repeats import op10_repeats
 from rosterline.llm.sharding import op8_sharding
 from rosterline.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op7_pii": op7_pii,
     "op10_repeats": op10_repeats,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_simhash": op4_simhash,
