@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rosterline.llm.decontam import op5_decontamination
 from rosterline.llm.embedding import OP3_SQL, op3_embedding_dedup
 from rosterline.llm.packing import op9_packing
 from rosterline.llm.pii import op7_pii
@@ -10,6 +11,7 @@ from rosterline.llm.sharding import op8_sharding
 from rosterline.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
     "op10_repeats": op10_repeats,
     "op3_embedding_dedup": op3_embedding_dedup,
