@@ -8,6 +8,7 @@ whole unit scores 1.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -70,6 +71,8 @@ class Index:
         self.top = [float(w.max()) for w in self.weights]
         self.block_max = [np.maximum.reduceat(w, np.arange(0, len(w), BLOCK)) for w in self.weights]
         self.n_units = len(units)
+        #: the same as lists, which are quicker to step through one by one
+        self.walk = [(d.tolist(), w.tolist(), b.tolist()) for d, w, b in zip(self.docs, self.weights, self.block_max, strict=True)]
         self._divide()
 
     def _divide(self) -> None:
@@ -97,12 +100,13 @@ class Index:
         """All units that score at least the threshold against the distinct ``terms``, by block-max WAND."""
         least = self.threshold - 1e-9
         found = []
-        at = {t: 0 for t in terms if len(self.docs[t])}
+        walk, top = self.walk, self.top
+        at = {t: 0 for t in terms if walk[t][0]}
         while True:
-            live = sorted((int(self.docs[t][p]), t) for t, p in at.items() if p < len(self.docs[t]))
+            live = sorted((walk[t][0][p], t) for t, p in at.items())
             total, pivot = 0.0, -1
             for i, (_, t) in enumerate(live):
-                total += self.top[t]
+                total += top[t]
                 if total >= least:
                     pivot = i
                     break
@@ -113,15 +117,16 @@ class Index:
                 pivot += 1
             bound, nearest = 0.0, live[pivot + 1][0] if pivot + 1 < len(live) else self.n_units
             for _, t in live[: pivot + 1]:
-                p = int(np.searchsorted(self.docs[t], unit))
-                if p < len(self.docs[t]):
-                    bound += self.block_max[t][p // BLOCK]
-                    last = min((p // BLOCK + 1) * BLOCK, len(self.docs[t])) - 1
-                    nearest = min(nearest, int(self.docs[t][last]) + 1)
+                docs, _, blocks = walk[t]
+                p = bisect_left(docs, unit, at[t])
+                if p < len(docs):
+                    bound += blocks[p // BLOCK]
+                    last = docs[min((p // BLOCK + 1) * BLOCK, len(docs)) - 1]
+                    nearest = min(nearest, last + 1)
             if bound < least:
                 to = max(nearest, unit + 1)
             elif live[0][0] == unit:
-                score = sum(float(self.weights[t][at[t]]) for d, t in live if d == unit)
+                score = sum(walk[t][1][at[t]] for d, t in live if d == unit)
                 if score >= least:
                     found.append((unit, score))
                 to = unit + 1
@@ -129,7 +134,11 @@ class Index:
                 to = unit
             for d, t in live[: pivot + 1]:
                 if d < to:
-                    at[t] = int(np.searchsorted(self.docs[t], to))
+                    p = bisect_left(walk[t][0], to, at[t])
+                    if p < len(walk[t][0]):
+                        at[t] = p
+                    else:
+                        del at[t]
 
 
 class _Ids(dict):
