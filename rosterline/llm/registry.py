@@ -6,11 +6,13 @@ from rosterline.llm.decontam import op5_decontamination
 from rosterline.llm.embedding import OP3_SQL, op3_embedding_dedup
 from rosterline.llm.packing import op9_packing
 from rosterline.llm.pii import op7_pii
+from rosterline.llm.quality import op2_quality
 from rosterline.llm.repeats import op10_repeats
 from rosterline.llm.sharding import op8_sharding
 from rosterline.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
     "op10_repeats": op10_repeats,
