@@ -10,8 +10,12 @@ from rosterline.llm.quality import op2_quality
 from rosterline.llm.repeats import op10_repeats
 from rosterline.llm.sharding import op8_sharding
 from rosterline.llm.simhash import op4_simhash
+from rosterline.llm.tokencount import op6_token_counts
+from rosterline.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op6_token_counts": op6_token_counts,
     "op2_quality": op2_quality,
     "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
