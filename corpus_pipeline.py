@@ -1,12 +1,66 @@
-"""Five stages from raw documents to packed training sequences."""
+"""Five stages from raw documents to packed training sequences.
+
+Every stage works on all rows its predecessor kept, and all but the last return the columns they got.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rosterline.llm.common import table, written
+from rosterline.llm.decontam import drop_leaks
+from rosterline.llm.packing import pack_documents
+from rosterline.llm.pii import mask_documents
+from rosterline.llm.quality import fit_documents, graded, keep_good
+from rosterline.llm.simhash import keep_one
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents likely to be of the highest grade, by the model fitted on those of ``docs`` that have labels."""
+    return keep_good(docs, fit_documents(docs, graded(table(spark, sf_dir, "labels"))))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked and their length brought up to date."""
+    masked = mask_documents(docs)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their place in training sequences."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
-STAGES: list = []
+#: No stage but the fourth can be said in SQL; tests hold each against a plain version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages in turn over the documents of ``sf_dir``, with a written table between two stages."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES):
+            docs = written(docs)
+    return docs

@@ -247,6 +247,16 @@ class Matcher:
 LEAKS = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double, first_word long"
 
 
+def _indexes(benchmark: DataFrame, item_column: str, item_text: str, threshold: float, index_words: int) -> Iterator:
+    """Broadcast indexes that together hold the benchmark, each of about ``index_words`` words at most."""
+    items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    words = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
+    count = max(1, math.ceil(words / index_words))
+    for k in range(count):
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).orderBy("item", "text").collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r["item"], r["text"]) for r in part], threshold))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, index_words: int = INDEX_WORDS) -> DataFrame:
     """One row per document row and test item that leaks into it.
 
@@ -255,16 +265,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     benchmark is dealt into indexes of at most about ``index_words`` words, so what is broadcast is bounded;
     every index sees all documents.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_column).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    words = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
-    count = max(1, math.ceil(words / index_words))
     text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text)
     found = None
-    for k in range(count):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).orderBy("item", "text").collect()
-        index = spark.sparkContext.broadcast(Index([(r["item"], r["text"]) for r in part], threshold))
+    for index in _indexes(benchmark, item_column, item_text, threshold, index_words):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(index.value)
@@ -281,5 +285,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     return found
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, index_words: int = INDEX_WORDS) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, into which no test item leaks."""
+    at = docs.columns.index(text_column)
+    kept = docs
+    for index in _indexes(benchmark, item_column, item_text, threshold, index_words):
+
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(index.value)
+            for piece in text_pieces(batches, text_column, limit=1 << 21):
+                clean = np.ones(piece.num_rows, bool)
+                clean[[r[0] for r in matcher.leaks([t or "" for t in piece.column(at).to_pylist()])]] = False
+                yield piece.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

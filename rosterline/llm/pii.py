@@ -197,7 +197,7 @@ def mask_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
         more = F.coalesce("__learned", F.array().cast(f"array<{SPAN}>"))
         rows = rows.select(*keys, F.concat("__spans", more).alias("__spans"))
     changed = F.when(F.col(text_column).isNotNull(), masked(F.col(text_column), F.col("__spans")))
-    return rows.withColumn(text_column, changed).drop("__spans")
+    return rows.withColumn(text_column, changed).select(*docs.columns)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -192,6 +192,20 @@ def score(docs: DataFrame, model: OrdinalModel, columns: list[str], text_column:
     return rows.mapInArrow(run, f"{schema}, {SCORES}")
 
 
+def keep_good(docs: DataFrame, model: OrdinalModel, text_column: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that reach ``min_tail`` of the highest grade."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+    at = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = OrdinalModel(*shared.value)
+        for piece in text_pieces(batches, text_column):
+            sums = own.sums([features(t or "") for t in piece.column(at).to_pylist()])
+            yield piece.filter(pa.array(own.tails(sums)[:, -1] >= min_tail))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def rate_documents(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, expected_grade, p_tail, grade, kept of every document; labelled or not makes no difference.
 

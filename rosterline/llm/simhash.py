@@ -227,5 +227,18 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_DIFFERENT_BITS) -> DataFrame:
+    """``docs`` with one row of every group of near copies: the one of the smallest id, null ids last.
+
+    Rows get a number of their own first, so repeated and missing ids are told apart.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    groups = near_groups(rows, "__row", text_column, words, max_bits).select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col(id_column).isNull().alias("missing"), F.col(id_column).alias("id"), F.col("__row"))
+    named = rows.select("__row", F.col(id_column)).join(groups, "__row")
+    first = named.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
