@@ -3,10 +3,11 @@
 A string of WINDOW bytes holds the same minimiser (the least hashed short string inside it, leftmost of
 equals) at the same place wherever it occurs, so equal strings meet under the hash of their minimiser.
 For every run of window starts with one minimiser a row of hashes leaves the scan, no text. Runs whose
-whole segments are equal are settled by that; where segments under one minimiser differ, their bytes are
-gathered into collections whose Burrows-Wheeler transform and common-prefix array are built column by
-column, one symbol of every segment per round. A window repeats where a neighbour in that order shares
-WINDOW bytes with it.
+whole segments are equal are settled by that; other runs that share a minimiser are cut into pieces of
+few windows, compared the same way by all bytes their windows share. Pieces that share these but differ
+around them become short strings, what they share being one symbol, and are gathered into collections
+whose Burrows-Wheeler transform and common-prefix array are built column by column, one symbol of every
+piece per round. A window repeats where a neighbour in that order has the same symbols all through it.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ from rosterline.llm.common import runs, starts_of, table, text_pieces, written
 WINDOW = 400
 #: Bytes of the strings among which the minimiser is chosen.
 GRAM = 100
-#: Different segments under one minimiser that one collection takes; more are told apart by finer keys.
+#: Windows of a piece.
+PIECE_WINDOWS = 32
+#: Different pieces with one key that one collection takes; of more, each window is compared by itself.
 COLLECTION_CAP = 1500
 #: Segments that make up a collection; whole groups are added until it has so many.
-COLLECTION_ROWS = 128
-#: Offsets from the minimiser that share a key on the finer levels.
-STEPS = (32, 1)
+COLLECTION_ROWS = 1024
 SCAN_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -149,7 +150,7 @@ def scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return docs.select("doc_id", "text", "k1", "k2").mapInArrow(run, OCCURRENCES)
 
 
-def classify(occurrences: DataFrame, cap: int) -> DataFrame:
+def classify(occurrences: DataFrame) -> DataFrame:
     """Occurrences whose core occurs more than once, with what is known of their segment.
 
     repeated: the whole segment occurs elsewhere. rivals: number of different segments under the core.
@@ -206,26 +207,26 @@ def finer(texts: DataFrame, crowded: DataFrame, step: int, window: int) -> DataF
     return wanted.select("k1", "k2", "text", "at").mapInArrow(run, OCCURRENCES)
 
 
-def column_sort(segments: list[bytes], least: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def column_sort(segments: list[np.ndarray], least: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Transform, common prefixes, segment and suffix length of all suffixes of a collection, in order.
 
     Round t puts the suffix of length t of every segment that has one in its place: the symbol before
     the suffix put in last is looked up in the transform so far, and its rank there is the place of the
     longer suffix. The common prefix with the neighbours on either side is one more than the least
     common prefix between the two places of that symbol. An end mark, symbol 0, precedes all others;
-    marks of different segments differ. Only suffixes of ``least`` bytes or more are returned.
+    marks of different segments differ. Only suffixes of ``least`` symbols or more are returned.
     """
     n = len(segments)
     size = np.array([len(s) for s in segments])
-    flat = np.frombuffer(b"".join(segments), np.uint8)
+    flat = np.concatenate(segments) if n else np.zeros(0, np.uint16)
     ends = np.cumsum(size)
     width = np.int16 if size.max(initial=0) < 30_000 else np.int32
 
     def symbol(who: np.ndarray, t: int) -> np.ndarray:
-        """Symbol before the suffix of length t; 0 at the start of the segment. UTF-8 has no byte 255."""
+        """Symbol before the suffix of length t; 0, which no segment holds, at the start of the segment."""
         inside = size[who] > t
-        out = np.zeros(len(who), np.uint8)
-        out[inside] = flat[ends[who[inside]] - t - 1] + np.uint8(1)
+        out = np.zeros(len(who), np.uint16)
+        out[inside] = flat[ends[who[inside]] - t - 1]
         return out
 
     active = np.arange(n)
@@ -288,8 +289,8 @@ def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
     return np.minimum.reduceat(padded, bounds)[0::2]
 
 
-def repeated_starts(segments: list[bytes], window: int) -> list[np.ndarray]:
-    """For each segment the window starts whose ``window`` bytes occur elsewhere in the collection."""
+def repeated_starts(segments: list[np.ndarray], window: int) -> list[np.ndarray]:
+    """For each segment the starts of ``window`` symbols that occur elsewhere in the collection."""
     _, common, owner, length = column_sort(segments, window)
     twice = common >= window
     if len(twice):
@@ -308,30 +309,48 @@ def _ranges(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate(([0], cut))], starts[np.concatenate((cut - 1, [len(starts) - 1]))]
 
 
-def compare_columns(texts: DataFrame, mixed: DataFrame, window: int) -> DataFrame:
-    """(k1, k2, lo, hi): window starts of ``mixed`` segments that repeat within their group."""
+def symbols(before: bytes, core: int, after: bytes) -> np.ndarray:
+    """A piece as a string: bytes as 1 to 256, what its group shares as the symbol 257 + ``core``."""
+    out = np.empty(len(before) + 1 + len(after), np.uint16)
+    out[: len(before)] = np.frombuffer(before, np.uint8)
+    out[len(before) + 1 :] = np.frombuffer(after, np.uint8)
+    out += np.uint16(1)
+    out[len(before)] = 257 + core
+    return out
+
+
+def compare_columns(texts: DataFrame, mixed: DataFrame, step: int, window: int) -> DataFrame:
+    """(k1, k2, lo, hi): window starts of ``mixed`` pieces that repeat within their group.
+
+    A window of a piece is its core, one symbol, and step - 1 bytes before and after it together, so a
+    window is ``step`` symbols long wherever it starts.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_pieces(batches):
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for k1, k2, text, at in zip(*(piece.column(i).to_pylist() for i in range(4)), strict=True):
                 data = text.encode()
                 for x in at:
-                    for held, value in zip(out, (x["core"], x["repeated"], k1, k2, x["lo"], data[x["lo"] : x["hi"] + window]), strict=True):
+                    begin = x["anchor"] - (x["anchor"] - x["lo"]) // step * step
+                    end = begin - step + 1 + window
+                    for held, value in zip(out, (x["core"], x["repeated"], k1, k2, x["lo"], data[x["lo"] : begin], data[end : x["hi"] + window]), strict=True):
                         held.append(value)
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["core", "repeated", "k1", "k2", "lo", "data"])
+            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["core", "repeated", "k1", "k2", "lo", "before", "after"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in runs(batches, ["core"], COLLECTION_ROWS * 16):
             begins = np.append(starts_of(part, ["core"]), part.num_rows)
-            data, settled = part.column("data"), part.column("repeated").to_numpy()
+            group = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+            settled = part.column("repeated").to_numpy()
             k1, k2, lo = (part.column(c).to_numpy() for c in ("k1", "k2", "lo"))
+            before, after = part.column("before").to_pylist(), part.column("after").to_pylist()
             rows: list[list] = [[], [], [], []]
             a = 0
             while a < part.num_rows:
                 b = int(begins[np.searchsorted(begins, min(a + COLLECTION_ROWS, part.num_rows))])
-                found = repeated_starts(data.slice(a, b - a).to_pylist(), window)
+                found = repeated_starts([symbols(before[i], int(group[i] - group[a]), after[i]) for i in range(a, b)], step)
                 for i, starts in enumerate(found, a):
                     if len(starts) and not settled[i]:
                         for x, y in zip(*(v.tolist() for v in _ranges(starts)), strict=True):
@@ -341,40 +360,40 @@ def compare_columns(texts: DataFrame, mixed: DataFrame, window: int) -> DataFram
             if rows[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["k1", "k2", "lo", "hi"])
 
-    lists = with_texts(texts, mixed, ["core", "repeated", "lo", "hi"])
-    segments = lists.mapInArrow(cut, "core long, repeated boolean, k1 long, k2 long, lo int, data binary")
-    placed = segments.repartition("core").sortWithinPartitions("core", "k1", "k2", "lo")
+    lists = with_texts(texts, mixed, ["core", "repeated", "anchor", "lo", "hi"])
+    pieces = lists.mapInArrow(cut, "core long, repeated boolean, k1 long, k2 long, lo int, before binary, after binary")
+    placed = pieces.repartition("core").sortWithinPartitions("core", "k1", "k2", "lo")
     return placed.mapInArrow(sort, "k1 long, k2 long, lo int, hi int")
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, cap: int = COLLECTION_CAP) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every document.
-
-    A null text is empty. Documents under ``window`` bytes lose nothing. Rows with equal texts of at
-    least ``window`` bytes lose all of it, however often they occur. Texts are told apart by a 128-bit
-    hash, segments under one core by a 64-bit hash with their place.
-    """
+def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, cap: int = COLLECTION_CAP) -> DataFrame:
+    """Keyed texts, the distinct texts of them that may hold repeats, and the window starts (k1, k2, lo, hi) that repeat."""
     texts = keyed(docs, id_column, text_column)
-    first = written(scan(texts, window, gram))
-    level = classify(first, cap)
+    level = classify(written(scan(texts, window, gram)))
     owners = level.groupBy("k1", "k2").agg(F.min("doc_id").alias("owner"))
     held = texts.join(owners, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("owner")))
     held = written(held.select("k1", "k2", "text"))
-    spans = level.where("repeated").select("k1", "k2", "lo", "hi")
-    for step in (*STEPS, None):
-        mixed = level.where(f"first AND rivals BETWEEN 2 AND {cap}")
-        spans = spans.unionByName(compare_columns(held, mixed, window))
-        crowded = level.where(f"first AND rivals > {cap}")
-        if step is None or crowded.isEmpty():
-            break
-        level = classify(finer(held, crowded, step, window), cap)
-        spans = spans.unionByName(level.where("repeated").select("k1", "k2", "lo", "hi"))
+    found = ["k1", "k2", "lo", "hi"]
+    spans = level.where("repeated").select(found)
+    # pieces of few windows: most of what differs as a whole run is equal or alone as a piece
+    level = classify(finer(held, level.where("first AND rivals > 1"), PIECE_WINDOWS, window))
+    spans = spans.unionByName(level.where("repeated").select(found))
+    spans = spans.unionByName(compare_columns(held, level.where(f"first AND rivals BETWEEN 2 AND {cap}"), PIECE_WINDOWS, window))
+    crowded = level.where(f"first AND rivals > {cap}")
+    if not crowded.isEmpty():
+        single = classify(finer(held, crowded, 1, window))
+        spans = spans.unionByName(single.where("repeated").select(found))
     return texts, held, written(spans.distinct())
 
 
 def removed_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, cap: int = COLLECTION_CAP) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges removed)."""
-    texts, held, spans = remove_repeats(docs, id_column, text_column, window, gram, cap)
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges removed).
+
+    A null text is empty. Documents under ``window`` bytes lose nothing. Rows with equal texts of at
+    least ``window`` bytes lose all of it, however often they occur. Texts are told apart by a 128-bit
+    hash, segments under one core by a 64-bit hash with their place.
+    """
+    texts, held, spans = repeated_spans(docs, id_column, text_column, window, gram, cap)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_pieces(batches):
