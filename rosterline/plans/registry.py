@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from rosterline.plans.oracles import ORACLES
+from rosterline.plans.queries import QUERIES
+from rosterline.streaming.events import STREAM_ORACLES, STREAM_QUERIES
+
+QUERIES = QUERIES | STREAM_QUERIES
+ORACLES = ORACLES | STREAM_ORACLES
