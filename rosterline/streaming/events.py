@@ -21,7 +21,9 @@ def new_files(spark: SparkSession, path: str, pattern: str = "*", per_trigger: i
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes", time: str = "ts", key: str = "event_type", value: str = "value") -> DataFrame:
     """Count and sum per key and tumbling window; on a stream, windows close once ``late`` has passed."""
-    rows = events.withWatermark(time, late) if events.isStreaming else events
+    rows = events
+    if events.isStreaming:  # a watermark needs a time zone, which the files' times may lack
+        rows = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     got = rows.groupBy(F.window(time, width), key).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
     return got.select(F.col("window.start").alias("window_start"), key, "n", "total")
 
