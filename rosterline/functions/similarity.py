@@ -75,26 +75,33 @@ KERNELS: dict[str, Callable[[str, str], float]] = {"ratio": ratio, "sorted": sor
 
 
 def similarity(left: Column | str, right: Column | str, kind: str = "ratio") -> Column:
-    """Similarity of two columns in Arrow batches; null counts as empty."""
+    """Similarity of two columns in Arrow batches; a pair that repeats in a batch is worked out once, null gives null."""
     rule = KERNELS[kind]
 
     @F.pandas_udf(DoubleType())
     def apply(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([rule(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+        known: dict[tuple, float | None] = {}
+        out = []
+        for pair in zip(a, b, strict=True):
+            if pair not in known:
+                known[pair] = None if pair[0] is None or pair[1] is None else rule(*pair)
+            out.append(known[pair])
+        return pd.Series(out, dtype="float64")
 
     return apply(left, right)
 
 
 def scored_pairs(pairs: DataFrame, left: str, right: str, name: str = "score", kind: str = "ratio") -> DataFrame:
-    """``pairs`` with the similarity of two columns, worked out once per distinct pair of values.
+    """``pairs`` with the similarity of two columns; what is equal or empty is settled without Python.
 
-    Equal and empty values never reach Python.
+    Pairs are scored where they are. Scoring distinct pairs and joining them back would shuffle all
+    pairs twice to save comparisons that mostly repeat inside a batch anyway.
     """
-    hard = pairs.select(left, right).where(f"{left} <> {right} AND {left} <> '' AND {right} <> ''").distinct()
-    scores = hard.withColumn("__s", similarity(left, right, kind))
-    joined = pairs.join(scores, [left, right], "left")
-    value = F.when((F.coalesce(F.col(left), F.lit("")) == "") | (F.coalesce(F.col(right), F.lit("")) == ""), 0.0)
-    return joined.withColumn(name, value.when(F.col(left) == F.col(right), 100.0).otherwise(F.col("__s"))).drop("__s")
+    a, b = F.col(left), F.col(right)
+    empty = (F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "")
+    hard = ~empty & (a != b)
+    rows = pairs.withColumn("__s", similarity(F.when(hard, a), F.when(hard, b), kind))
+    return rows.withColumn(name, F.when(empty, 0.0).when(a == b, 100.0).otherwise(F.col("__s"))).drop("__s")
 
 
 def ratio_bound(left: Column | str, right: Column | str) -> Column:

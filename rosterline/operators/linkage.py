@@ -183,29 +183,30 @@ def legacy_classify(source: DataFrame, roster: DataFrame, student: float = 88.0,
 
     A location needs both parts at least ``location`` and is weighed 0.35 district, 0.65 school.
     """
-    exact = roster.groupBy("district", "school", "section", "student").agg(F.min("row_number").alias("exact_row"))
-    known = source.join(exact, ["district", "school", "section", "student"], "left")
-    done = known.where("exact_row IS NOT NULL").select("src_row", F.lit("exact").alias("status"), F.col("student").alias("matched_student"), F.lit(100.0).alias("score"))
-    rest = known.where("exact_row IS NULL").drop("exact_row")
-    places = roster.select("district", "school", "section").distinct()
-    as_is = rest.join(places, ["district", "school", "section"], "left_semi").select("src_row", "student", "section", F.col("district").alias("r_district"), F.col("school").alias("r_school"))
-    other = rest.join(places, ["district", "school", "section"], "left_anti")
-    want = other.where("district <> '' AND school <> '' AND section <> ''").select("district", "school", "section").distinct()
-    near = want.join(places.select(F.col("district").alias("r_district"), F.col("school").alias("r_school"), "section"), "section")
-    near = scored_pairs(near, "district", "r_district", "d_score", "sorted").where(F.col("d_score") >= location)
-    near = scored_pairs(near, "school", "r_school", "s_score", "sorted").where(F.col("s_score") >= location)
+    place = ["district", "school", "section"]
+    exact = roster.groupBy(*place, "student").agg(F.min("row_number").alias("exact_row"))
+    places = roster.select(*place).distinct().withColumn("here", F.lit(True))
+    want = source.select(*place).distinct().where("district <> '' AND school <> '' AND section <> ''").join(places, place, "left_anti")
+    near = want.join(places.select(F.col("district").alias("n_district"), F.col("school").alias("n_school"), "section"), "section")
+    near = scored_pairs(near, "district", "n_district", "d_score", "sorted").where(F.col("d_score") >= location)
+    near = scored_pairs(near, "school", "n_school", "s_score", "sorted").where(F.col("s_score") >= location)
     weight = F.col("d_score") * 0.35 + F.col("s_score") * 0.65
-    first = Window.partitionBy("district", "school", "section").orderBy(F.desc(weight), "r_district", "r_school")
-    near = near.withColumn("__r", F.row_number().over(first)).where("__r = 1").select("district", "school", "section", "r_district", "r_school")
-    moved = other.join(near, ["district", "school", "section"]).select("src_row", "student", "section", "r_district", "r_school")
+    near = near.groupBy(*place).agg(F.min(F.struct((-weight).alias("w"), "n_district", "n_school")).alias("near"))
+    rows = source.join(exact, [*place, "student"], "left").join(places, place, "left").join(near, place, "left")
+    rows = rows.select(
+        "src_row", "student", "section", "exact_row", F.when(F.col("here"), F.col("district")).otherwise(F.col("near.n_district")).alias("r_district"),
+        F.when(F.col("here"), F.col("school")).otherwise(F.col("near.n_school")).alias("r_school"),
+    )
     people = roster.select(F.col("district").alias("r_district"), F.col("school").alias("r_school"), "section", F.col("student").alias("r_student"))
-    pairs = scored_pairs(as_is.unionByName(moved).join(people, ["r_district", "r_school", "section"]), "student", "r_student", "score", "sorted")
-    best = Window.partitionBy("src_row").orderBy(F.desc("score"), "r_student")
-    top = pairs.withColumn("__r", F.row_number().over(best)).where(f"__r = 1 AND score >= {student}")
-    fuzzy = top.select("src_row", F.lit("fuzzy").alias("status"), F.col("r_student").alias("matched_student"), "score")
-    found = done.unionByName(fuzzy)
-    none = source.select("src_row").join(found.select("src_row"), "src_row", "left_anti")
-    return found.unionByName(none.select("src_row", F.lit("unmatched").alias("status"), F.lit(None).cast("string").alias("matched_student"), F.lit(None).cast("double").alias("score")))
+    open_rows = rows.where("exact_row IS NULL AND r_district IS NOT NULL")
+    pairs = scored_pairs(open_rows.join(people, ["r_district", "r_school", "section"]), "student", "r_student", "score", "sorted")
+    best = pairs.where(F.col("score") >= student).groupBy("src_row").agg(F.min(F.struct((-F.col("score")).alias("s"), "r_student")).alias("best"))
+    is_exact = F.col("exact_row").isNotNull()
+    return rows.join(best, "src_row", "left").select(
+        "src_row", F.when(is_exact, "exact").when(F.col("best").isNotNull(), "fuzzy").otherwise("unmatched").alias("status"),
+        F.when(is_exact, F.col("student")).otherwise(F.col("best.r_student")).alias("matched_student"),
+        F.when(is_exact, 100.0).otherwise(-F.col("best.s")).alias("score"),
+    )
 
 
 def unique_best(pairs: DataFrame, keys: list[str], candidate: str, score: str, threshold: float, margin: float) -> DataFrame:

@@ -15,8 +15,7 @@ MARGIN = 5.0
 def candidate_evidence(source: DataFrame, roster: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """Scored candidates at the resolved location with evidence and the adjusted score."""
     pairs = scored_candidates(source, roster, resolve_locations(source, roster, policy))
-    hard = pairs.select("student", "r_student").distinct().withColumn("e", evidence("student", "r_student"))
-    got = pairs.join(hard, ["student", "r_student"])
+    got = pairs.withColumn("e", evidence("student", "r_student"))
     return got.withColumn("adjusted", F.greatest("score", F.coalesce("e.rule_score", F.col("score"))))
 
 

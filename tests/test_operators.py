@@ -162,3 +162,24 @@ def test_extraction_rules():
     table = [["Sıra", "Okul No", "Adı Soyadı", "Notu"], ["1", "12", "Ali", "İYİ"], ["1", "12", "Ali", "İYİ"], ["", "x", "Toplam", ""]]
     assert extraction.table_rows(table) == [("12", "Ali", "İYİ")] and extraction.table_rows([["1", "7", "Can", "ORTA"]]) == [("7", "Can", "ORTA")] and extraction.table_rows([["1", "2"]]) == []
     assert extraction.twelve_cells(["1", "2", *"abc", *"123456789"])[2] == "a b c"
+
+
+def test_legacy_policy_equals_plain_search(src, roster):
+    from rosterline.functions.similarity import sorted_ratio
+
+    people = [r.asDict() for r in roster.collect()]
+    places = sorted({(p["district"], p["school"], p["section"]) for p in people})
+    want = {}
+    for s in src.collect():
+        at = (s["district"], s["school"], s["section"])
+        if any((p["district"], p["school"], p["section"], p["student"]) == (*at, s["student"]) for p in people):
+            want[s["src_row"]] = ("exact", s["student"])
+            continue
+        if at not in places:
+            scored = [(sorted_ratio(at[0], d), sorted_ratio(at[1], c), d, c) for d, c, sec in places if sec == at[2]]
+            scored = [(-(0.35 * a + 0.65 * b), d, c) for a, b, d, c in scored if a >= 90 and b >= 90]
+            at = (*min(scored)[1:], at[2]) if scored else None
+        hits = [(-sorted_ratio(s["student"], p["student"]), p["student"]) for p in people if (p["district"], p["school"], p["section"]) == at]
+        best = min(hits, default=(0, None))
+        want[s["src_row"]] = ("fuzzy", best[1]) if best[0] <= -88 else ("unmatched", None)
+    assert {r["src_row"]: (r["status"], r["matched_student"]) for r in linkage.legacy_classify(src, roster).collect()} == want
