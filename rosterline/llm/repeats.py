@@ -155,13 +155,15 @@ def classify(occurrences: DataFrame) -> DataFrame:
 
     repeated: the whole segment occurs elsewhere. rivals: number of different segments under the core.
     first: this occurrence stands for its segment. All sums are of fixed size per key, so a core with a
-    third of all occurrences is summed before the shuffle; joins are left to the adaptive skew join.
+    third of all occurrences is summed before the shuffle. The sums are written tables: both sides of
+    every join are then plain shuffles, which the adaptive skew join can split.
     """
     o = F.xxhash64("k1", "k2", "lo")
     both = occurrences.groupBy("core").agg(F.min(o).alias("a"), F.max(o).alias("b")).where("a <> b").select("core")
+    both = written(both)
     rows = written(occurrences.join(both, "core", "left_semi").withColumn("o", o))
-    segs = rows.groupBy("core", "seg").agg(F.min("o").alias("least"), F.max("o").alias("most"))
-    rivals = segs.groupBy("core").agg(F.count("*").alias("rivals"))
+    segs = written(rows.groupBy("core", "seg").agg(F.min("o").alias("least"), F.max("o").alias("most")))
+    rivals = written(segs.groupBy("core").agg(F.count("*").alias("rivals")))
     got = rows.join(segs, ["core", "seg"]).join(rivals, "core")
     got = got.selectExpr(
         "core", "seg", "k1", "k2", "doc_id", "anchor", "lo", "hi", "rivals",
@@ -370,9 +372,10 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """Keyed texts, the distinct texts of them that may hold repeats, and the window starts (k1, k2, lo, hi) that repeat."""
     texts = keyed(docs, id_column, text_column)
     level = classify(written(scan(texts, window, gram)))
-    owners = level.groupBy("k1", "k2").agg(F.min("doc_id").alias("owner"))
-    held = texts.join(owners, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("owner")))
-    held = written(held.select("k1", "k2", "text"))
+    # the id is a key of the join, so the copies of one text do not meet in one task
+    owners = level.groupBy(F.col("k1").alias("o1"), F.col("k2").alias("o2")).agg(F.min("doc_id").alias("owner"))
+    own = (F.col("k1") == F.col("o1")) & (F.col("k2") == F.col("o2")) & F.col("doc_id").eqNullSafe(F.col("owner"))
+    held = written(texts.join(owners, own).select("k1", "k2", "text"))
     found = ["k1", "k2", "lo", "hi"]
     spans = level.where("repeated").select(found)
     # pieces of few windows: most of what differs as a whole run is equal or alone as a piece
@@ -423,7 +426,7 @@ def removed_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     size = F.octet_length("text").cast("long")
     slim = texts.select("doc_id", "k1", "k2", size.alias("n_bytes"), F.sha2(F.encode("text", "UTF-8"), 256).alias("whole"))
     copies = slim.where(F.col("n_bytes") >= window).groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("copied"))
-    got = slim.join(copies, ["k1", "k2"], "left").join(changed, ["k1", "k2"], "left")
+    got = slim.join(written(changed.join(copies, ["k1", "k2"], "full")), ["k1", "k2"], "left")
     copied = F.coalesce("copied", F.lit(False))
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     return got.select(
