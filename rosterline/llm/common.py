@@ -106,8 +106,9 @@ def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (src, dst): one row (node, component) per linked node.
 
     Alternates large-star and small-star steps. Each step only takes minima per node, which Spark
-    sums up before the shuffle, and joins them back, so a hub with a third of all links is split by
-    the adaptive skew join. ``component`` is the smallest node reachable. Null ends and loops are
+    sums up before the shuffle, and joins them back. The minima are a written table, so both sides of
+    the join are plain shuffles and the adaptive skew join can split a hub with a third of all links.
+    ``component`` is the smallest node reachable. Null ends and loops are
     ignored. Rounds are logarithmic in the longest chain; every round is a written table.
     """
     edges = written(
@@ -118,13 +119,14 @@ def components(links: DataFrame) -> DataFrame:
     before = _signature(edges)
     while before[0]:
         ends = edges.union(edges.select(F.col("v"), F.col("u")))
-        least = ends.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(ends.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = ends.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after_edges = written(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         after = _signature(after_edges)
-        drop_written(edges)
+        for done in (edges, least, low):
+            drop_written(done)
         edges = after_edges
         if after == before:
             break

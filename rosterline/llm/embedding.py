@@ -169,7 +169,7 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     named = classes.select("uid", "cid", "mult", "embedding").join(links, "uid", "left")
     named = named.join(star.withColumnRenamed("node", "uid"), "uid", "left")
     named = named.withColumn("component", F.coalesce("component", "uid"))
-    least = named.groupBy("component").agg(F.min("cid").alias("component_id"))
+    least = written(named.groupBy("component").agg(F.min("cid").alias("component_id")))
     named = named.join(least, "component").select(
         "embedding", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id"
     )

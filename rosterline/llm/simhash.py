@@ -220,7 +220,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     star = components(near_links(classes.select("fp"), classes.count(), max_bits, cap))
     joined = classes.join(star.withColumnRenamed("node", "fp"), "fp", "left")
     joined = joined.withColumn("component", F.coalesce("component", "fp"))
-    least = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    least = written(joined.groupBy("component").agg(F.min("first_id").alias("component_id")))
     named = joined.join(least, "component").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
