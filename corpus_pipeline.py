@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from rosterline.llm.common import table, written
 from rosterline.llm.decontam import drop_leaks
+from rosterline.llm.nearcopies import keep_dissimilar
 from rosterline.llm.packing import pack_documents
 from rosterline.llm.pii import mask_documents
 from rosterline.llm.quality import fit_documents, graded, keep_good
-from rosterline.llm.simhash import keep_one
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return keep_one(docs)
+    """One document of each group whose five-word shingles chains of pairs at 0.8 or more join."""
+    return keep_dissimilar(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
