@@ -1,9 +1,10 @@
 """Personal data by fixed patterns and by contexts learned from them; built-in functions only.
 
-Matches of the fixed patterns are seeds. The words before a match, if they end in a mark such as a colon
-or a quote, are a lexical pattern. Patterns and the identifiers seen in them form a graph over the whole
-corpus on which confidence is passed back and forth; identifiers that no fixed pattern knows are reported
-where a pattern of high confidence precedes them.
+Matches of the fixed patterns are seeds. The last word before a match and the last two, each with and
+without the marks at their end, are lexical patterns. Patterns and the identifiers seen in them form a
+graph over the whole corpus on which confidence is passed back and forth; identifiers that no fixed
+pattern knows are reported where a pattern of high confidence precedes them. A pattern that mostly precedes other things, such as a
+common word, tells nothing and takes no part.
 """
 
 from __future__ import annotations
@@ -26,14 +27,22 @@ NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][ -]?+){12}[0-9]
 KINDS = tuple(PATTERNS)
 LEARNED = "learned"
 
-#: Words with at least three digits that could be identifiers.
-CANDIDATE = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z._%+-]*+[0-9](?:[._%+-]*+[A-Za-z0-9]++)*+"
-#: Characters before a match that are looked at, and what of them is the pattern: two words that end in a mark.
+#: Words with digits that could be identifiers, and runs of digit groups with a space, dot, hyphen or bracket between two.
+WORD = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z._%+-]*+[0-9](?:[._%+-]*+[A-Za-z0-9]++)*+"
+GROUPS = r"(?:(?<![A-Za-z0-9._%+-])|\G)\(?[0-9]++(?![A-Za-z_%+])(?:\)?+[ .-]?+\(?+[0-9]++(?![A-Za-z_%+]))++(?!-[A-Za-z])"
+CANDIDATE = f"{GROUPS}|{WORD}"
+#: Characters before a match that are looked at, the two words at their end, and the marks at the end of a word.
 LEFT_CHARS = 48
-LEFT = r"(?:\S{1,24}\s+)?\S{0,24}[:=#\"'(\[<]\s*$"
+LEFT_WORD = 24
+LEFT = r"(?:\S{1,24}\s+)?(?:\S{1,24}\s+|\S{0,23}[:=#\"'(\[<])$"
+#: Where a mark touches what follows, and the two are told apart.
+GLUED = r"([:=#\"'(\[<])(?=[^\s:=#\"'(\[<])"
+MARKS = r"[^\p{L}\p{N}]+$"
 ROUNDS = 3
 #: A pattern is believed with so many different identifiers, and such a share of known ones among them.
 MIN_INSTANCES, MIN_CONFIDENCE = 5, 0.6
+#: An identifier must follow at such a share of the places where a pattern stands.
+MIN_SHARE = 0.5
 
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 FOUND = "struct<kind:string,start:bigint,end:bigint,value:string>"
@@ -95,25 +104,57 @@ def _prepared(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return got.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text"), "base": base_spans(F.col("text"))})
 
 
+def _forms(two: Column, one: Column) -> Column:
+    return F.array_distinct(F.array(two, one, F.regexp_replace(two, MARKS, ""), F.regexp_replace(one, MARKS, "")))
+
+
 def contexts(prepared: DataFrame) -> DataFrame:
-    """(k1, k2, start, end, value, pattern, seed) of seeds and candidates that a pattern precedes.
+    """(k1, k2, start, end, value, pattern, seed) of seeds and candidates, one row per pattern that precedes them.
 
-    A candidate that touches a seed is part of it and no candidate.
+    A candidate that touches a seed is part of it and no candidate; of digit groups that touch one, the
+    words that do not are candidates.
     """
     text = F.col("text")
     seeds = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), F.lit(True).alias("seed")))
-    others = F.filter(
-        matches(text, LEARNED, CANDIDATE, r"[0-9]"),
-        lambda x: ~F.exists("base", lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])),
-    )
+    apart = lambda x: ~F.exists("base", lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
+
+    def words(x: Column) -> Column:
+        inner = F.transform(
+            matches(x["value"], LEARNED, WORD, r"[0-9]"),
+            lambda y: F.struct(y["kind"].alias("kind"), (y["start"] + x["start"]).alias("start"), (y["end"] + x["start"]).alias("end"), y["value"].alias("value")),
+        )
+        return F.filter(inner, apart)
+
+    others = F.flatten(F.transform(matches(text, LEARNED, CANDIDATE, r"[0-9]"), lambda x: F.when(apart(x), F.array(x)).otherwise(words(x))))
     others = F.transform(others, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), F.lit(False).alias("seed")))
     rows = prepared.where(F.rlike(text, F.lit("[0-9@]")))
     rows = rows.select("k1", "k2", "text", F.explode(F.concat(seeds, others)).alias("x")).select("k1", "k2", "text", "x.*")
     taken = F.least(F.col("start"), F.lit(LEFT_CHARS))
     left = F.substring(text, (F.col("start") - taken + 1).cast("int"), taken.cast("int"))
-    pattern = F.regexp_replace(F.lower(F.regexp_extract(left, LEFT, 0)), r"[0-9]", "0")
-    pattern = F.trim(F.regexp_replace(pattern, r"\s+", " "))
-    return rows.select("k1", "k2", "start", "end", "value", pattern.alias("pattern"), "seed").where("pattern <> ''")
+    two = F.regexp_replace(F.lower(F.regexp_extract(left, LEFT, 0)), r"[0-9]", "0")
+    rows = rows.select("k1", "k2", "start", "end", "value", "seed", F.trim(F.regexp_replace(two, r"\s+", " ")).alias("two"))
+    one = F.substring_index("two", " ", -1)
+    patterns = _forms(F.col("two"), one)
+    return rows.select("k1", "k2", "start", "end", "value", F.explode(patterns).alias("pattern"), "seed").where("pattern <> ''")
+
+
+def telling_patterns(prepared: DataFrame, found: DataFrame, instances: int = MIN_INSTANCES, share: float = MIN_SHARE) -> DataFrame:
+    """Patterns of ``found`` with enough different identifiers that precede one at ``share`` of all their places."""
+    often = written(found.groupBy("pattern").agg(F.count_distinct("value").alias("values"), F.count("*").alias("n")).where(F.col("values") >= instances).select("pattern", "n"))
+    if often.isEmpty():
+        return often.select("pattern")
+    bare = lambda c: F.regexp_replace(c, MARKS, "")
+    last = often.select(bare(F.substring_index("pattern", " ", -1)).alias("last")).distinct()
+    text = F.regexp_replace(F.regexp_replace(F.lower("text"), r"[0-9]", "0"), GLUED, "$1 ")
+    tokens = F.transform(F.filter(F.split(text, r"\s+"), lambda x: x != ""), lambda x: F.right(x, F.lit(LEFT_WORD)))
+    places = prepared.select(tokens.alias("tokens"))
+    before = F.concat(F.array(F.lit("")), F.col("tokens"))
+    places = places.select(F.explode(F.arrays_zip(before.alias("before"), F.col("tokens").alias("one"))).alias("x")).where("x.one IS NOT NULL")
+    places = places.select("x.*").withColumn("last", bare(F.col("one"))).join(last, "last")
+    forms = places.select(F.explode(_forms(F.trim(F.concat_ws(" ", "before", "one")), F.col("one"))).alias("pattern"))
+    stands = forms.join(often.select("pattern"), "pattern").groupBy("pattern").agg(F.count("*").alias("places"))
+    told = often.join(stands, "pattern", "left")
+    return told.where(F.col("n") >= F.lit(share) * F.coalesce("places", F.lit(0))).select("pattern")
 
 
 def trusted_patterns(found: DataFrame, rounds: int = ROUNDS, instances: int = MIN_INSTANCES, confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -139,6 +180,7 @@ def trusted_patterns(found: DataFrame, rounds: int = ROUNDS, instances: int = MI
 def learned_spans(prepared: DataFrame) -> DataFrame:
     """(k1, k2, learned): spans that only the learned patterns find, by the hash of their text."""
     found = written(contexts(prepared))
+    found = found.join(written(telling_patterns(prepared, found)), "pattern")
     trusted = written(trusted_patterns(found))
     hits = found.where("NOT seed").join(trusted, "pattern").select("k1", "k2", "start", "end").distinct()
     span = F.struct("start", "end")

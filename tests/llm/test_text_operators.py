@@ -168,6 +168,29 @@ def test_learned_contexts_find_what_no_pattern_knows(spark):
     assert masked[9] == "note contact id: [LEARNED] end" and masked[0] == "note 0 contact id: [EMAIL] end" and masked[11] == texts[11]
 
 
+def test_labels_in_running_text_are_learned(spark):
+    known = [f"word{chr(97 + i)}.\nPhone: +1 (555) 555-010{i} end" for i in range(7)] + [f"please call me at +1 (555) 555-020{i} or {chr(97 + i)}x" for i in range(7)]
+    hidden = {20: ("other text\nPhone: ", "555 123 4567", " end"), 21: ("now call me at ", "(555) 123-4567", ", thanks"), 22: ("Phone: ", "555.123.4567", ". End"), 23: ("your phone: ", "AB-5512-77", " 5th")}
+    plain = {30: "room 555 123 4567 here", 31: "in 1234567 cases"}
+    docs = spark.createDataFrame([*enumerate(known), *((i, "".join(t)) for i, t in hidden.items()), *plain.items()], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).where("n_learned > 0").collect()}
+    assert found == {i: f"learned:{len(a)}:{len(a) + len(b)}" for i, (a, b, _) in hidden.items()}
+    masked = {r["doc_id"]: r["text"] for r in pii.mask_documents(docs).collect()}
+    assert all(masked[i] == f"{a}[LEARNED]{c}" for i, (a, _, c) in hidden.items()) and all(masked[i] == t for i, t in plain.items())
+
+
+def test_common_words_before_seeds_tell_nothing(spark):
+    known = [f"see the u{i}@mail.example.com and the other the same the rest" for i in range(9)]
+    docs = spark.createDataFrame([*enumerate(known), (20, "over the 7654321 rows")], "doc_id long, text string")
+    assert pii.personal_data(docs).where("n_learned > 0").count() == 0
+
+
+def test_words_beside_a_seed_stay_candidates(spark):
+    known = [f"id: u{i}@mail.example.com" for i in range(9)]
+    docs = spark.createDataFrame([*enumerate(known), (20, "id: 7654321 10.0.0.1")], "doc_id long, text string")
+    assert {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).where("n_learned > 0").collect()} == {20: "ip:12:20,learned:4:11"}
+
+
 def test_shards_are_even_and_places_gapless(spark, docs, nothing):
     many = spark.range(3000).select("id", F.repeat(F.lit("x"), (F.col("id") % 97).cast("int")).alias("text")).withColumnRenamed("id", "doc_id").withColumn("shard", F.lit("s"))
     got = sharding.shard_documents(many, 7, 512).toPandas()
