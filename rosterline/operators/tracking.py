@@ -212,6 +212,79 @@ def student_exceptions(periods: DataFrame, keys: list[str]) -> DataFrame:
     return flags.where("p1 = 1").select(*keys, "student", "row_number", kind.alias("exception_type")).where("exception_type IS NOT NULL")
 
 
+def _students(periods: DataFrame) -> DataFrame:
+    return periods.where(F.trim(F.coalesce("student", F.lit(""))) != "")
+
+
+def _sections(periods: DataFrame, keys: list[str]) -> DataFrame:
+    return periods.groupBy(*keys).agg(*[F.max((F.col("period") == p).cast("int")).alias(f"has_{p}") for p in (1, 2, 3)])
+
+
+def section_matches(periods: DataFrame, keys: list[str], threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
+    """One-to-one matches of periods 1 and 2 and 1 and 3, or 2 and 3 in sections that period 1 lacks."""
+    rows = _students(periods)
+    bare = _sections(periods, keys).where("has_1 = 0").select(*keys)
+    rest = rows.join(bare, keys, "left_semi")
+    got = None
+    for one, two, source in ((1, 2, rows), (1, 3, rows), (2, 3, rest)):
+        found = match_periods(source.where(F.col("period") == one), source.where(F.col("period") == two), keys, threshold, margin)
+        found = found.where("method <> 'Doubt'").select(*keys, F.lit(one).alias("left_period"), F.lit(two).alias("right_period"), "left_row", "right_row", "score", "method")
+        got = found if got is None else got.unionByName(found)
+    return got
+
+
+def matched_reconciliation(periods: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per section by the one-to-one ``matches`` of ``section_matches``.
+
+    Sections of the first period count its students in the later ones; the others, with has_baseline
+    false, count what periods 2 and 3 share and each has alone. What does not apply is null.
+    """
+    sizes = _students(periods).groupBy(*keys).agg(*[F.count_if(F.col("period") == p).alias(n) for p, n in ((1, "baseline"), (2, "second"), (3, "third"))])
+    pair = lambda a, b: (F.col("left_period") == a) & (F.col("right_period") == b)
+    per_row = matches.groupBy(*keys, "left_period", "left_row").agg(*[F.count_if(pair(a, b)).alias(f"m{a}{b}") for a, b in ((1, 2), (1, 3), (2, 3))])
+    found = per_row.groupBy(*keys).agg(
+        F.sum("m12").alias("m12"), F.sum("m13").alias("m13"), F.sum("m23").alias("m23"), F.count_if((F.col("m12") > 0) & (F.col("m13") > 0)).alias("both")
+    )
+    got = _sections(periods, keys).join(sizes, keys, "left").join(found, keys, "left").na.fill(0, ["baseline", "second", "third", "m12", "m13", "m23", "both"])
+    based = F.col("has_1") == 1
+    first = lambda c: F.when(based, c)
+    later = lambda c: F.when(~based, c)
+    same = lambda p, m, left: (F.col(f"has_{p}") == 1) & (F.col(left) == F.col(m)) & (F.col("second" if p == 2 else "third") == F.col(m))
+    return got.select(
+        *keys, based.alias("has_baseline"), (F.col("has_2") == 1).alias("has_second"), (F.col("has_3") == 1).alias("has_third"), "baseline", "second", "third",
+        first(F.col("m12")).alias("matched_second"), first(F.col("baseline") - F.col("m12")).alias("missing_second"), first(F.col("second") - F.col("m12")).alias("extra_second"),
+        first(same(2, "m12", "baseline")).alias("exact_roster_second"),
+        first(F.col("m13")).alias("matched_third"), first(F.col("baseline") - F.col("m13")).alias("missing_third"), first(F.col("third") - F.col("m13")).alias("extra_third"),
+        first(same(3, "m13", "baseline")).alias("exact_roster_third"),
+        first(F.col("both")).alias("matched_both"), first(F.col("baseline") - F.col("both")).alias("missing_either"),
+        later(F.col("m23")).alias("matched_later"), later(F.col("second") - F.col("m23")).alias("only_second"), later(F.col("third") - F.col("m23")).alias("only_third"),
+        later((F.col("has_2") == 1) & same(3, "m23", "second")).alias("exact_roster_later"),
+    )
+
+
+def matched_exceptions(periods: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
+    """First-period students that a later period lacks, with the match in the other one, and unmatched later rows.
+
+    Rows of period 1 name what they miss; rows of periods 2 and 3 have no match in the roster they are held against.
+    """
+    rows = _students(periods)
+    names = rows.select(*keys, "period", F.col("row_number").alias("right_row"), F.col("student").alias("name"))
+    base = rows.where("period = 1").select(*keys, "period", "student", "row_number")
+    for p, side in ((2, "second"), (3, "third")):
+        found = matches.where((F.col("left_period") == 1) & (F.col("right_period") == p)).join(names.where(F.col("period") == p).drop("period"), [*keys, "right_row"])
+        found = found.select(*keys, F.col("left_row").alias("row_number"), F.col("name").alias(f"{side}_student"), F.col("method").alias(f"{side}_method"), F.col("score").alias(f"{side}_score"))
+        base = base.join(found, [*keys, "row_number"], "left")
+    no2, no3 = F.col("second_method").isNull(), F.col("third_method").isNull()
+    base = base.withColumn("exception_type", F.when(no2 & no3, "Missing from Sheets 2 and 3").when(no2, "Missing from Sheet 2").when(no3, "Missing from Sheet 3")).where("exception_type IS NOT NULL")
+    ends = [matches.select(*keys, F.col(f"{s}_period").alias("period"), F.col(f"{s}_row").alias("row_number")) for s in ("left", "right")]
+    alone = rows.where("period > 1").join(ends[0].union(ends[1]), [*keys, "period", "row_number"], "left_anti")
+    alone = alone.join(_sections(periods, keys).select(*keys, "has_1"), keys).select(
+        *keys, "period", "student", "row_number",
+        F.when(F.col("has_1") == 1, F.concat(F.lit("Not in Sheet 1, extra in Sheet "), F.col("period"))).otherwise(F.concat(F.lit("No baseline, only in Sheet "), F.col("period"))).alias("exception_type"),
+    )
+    return base.unionByName(alone, allowMissingColumns=True)
+
+
 def overview_metrics(sections: DataFrame) -> DataFrame:
     """Totals of the reconciliation as metric and value."""
     sums = [c for c, t in sections.dtypes if t == "bigint"]

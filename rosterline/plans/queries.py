@@ -341,6 +341,20 @@ def overview_metrics(spark, sf_dir):
     return tracking.overview_metrics(section_reconciliation(spark, sf_dir))
 
 
+def section_reconciliation_matched(spark, sf_dir):
+    p = derived(spark, sf_dir, "periods")
+    return tracking.matched_reconciliation(p, tracking.section_matches(p, SECTION), SECTION)
+
+
+def student_exceptions_matched(spark, sf_dir):
+    p = derived(spark, sf_dir, "periods")
+    return tracking.matched_exceptions(p, tracking.section_matches(p, SECTION), SECTION)
+
+
+def overview_metrics_matched(spark, sf_dir):
+    return tracking.overview_metrics(section_reconciliation_matched(spark, sf_dir))
+
+
 def label_clusters(spark, sf_dir):
     s = derived(spark, sf_dir, "src").select(F.lit(1).alias("period"), F.col("src_row").alias("row_number"), F.upper("district").alias("district"), F.upper("school").alias("school"))
     return tracking.label_clusters(s, "school", "school", within=["district"])
@@ -358,5 +372,6 @@ QUERIES = {
         legacy_classify, two_level_resolve, name_evidence, assess_pairs, promote_unmatched, cohort_measures, cohort_summary,
         red_improvement, audit_counters, transfer_scores, apply_corrections, tracking_exact, tracking_matches,
         section_reconciliation, student_exceptions, overview_metrics, label_clusters,
+        section_reconciliation_matched, student_exceptions_matched, overview_metrics_matched,
     )
 }

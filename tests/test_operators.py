@@ -120,6 +120,40 @@ def test_periods_do_not_depend_on_partitions(spark):
     assert one == sorted(map(str, tracking.match_periods(a.repartition(7), b.repartition(3), keys).collect())) and len(one) > 100
 
 
+def test_reconciliation_follows_matches(spark):
+    from rosterline.plans import queries
+
+    keys = ["district", "school", "section"]
+    rows = [
+        *((1, i, "d", "s", "a", n) for i, n in enumerate(["kaan samed cil", "ayse nur demir", "veli can tas"])),
+        *((2, 10 + i, "d", "s", "a", n) for i, n in enumerate(["kaan samet cil", "ayse nur demir", "veli can tas"])),
+        *((3, 20 + i, "d", "s", "a", n) for i, n in enumerate(["kaan samed cil", "zeki ozturk"])),
+        (2, 30, "d", "s", "b", "ali kaya bulut"), (3, 31, "d", "s", "b", "ali kaya bulutt"), (3, 32, "d", "s", "b", "omer tan"), (1, 40, "d", "s", "c", " "), (2, 41, "d", "s", "c", "can er"),
+    ]
+    given = spark.createDataFrame(rows, "period int, row_number long, district string, school string, section string, student string")
+    m = tracking.section_matches(given, keys)
+    got = {r["section"]: r.asDict() for r in tracking.matched_reconciliation(given, m, keys).collect()}
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a["matched_second"], a["missing_second"], a["extra_second"], a["exact_roster_second"]) == (3, 0, 0, True)
+    assert (a["matched_third"], a["missing_third"], a["extra_third"], a["exact_roster_third"], a["matched_both"], a["missing_either"]) == (1, 2, 1, False, 1, 2)
+    assert (b["has_baseline"], b["matched_later"], b["only_second"], b["only_third"], b["matched_second"], b["exact_roster_later"]) == (False, 1, 0, 1, None, False)
+    assert (c["has_baseline"], c["has_third"], c["baseline"], c["extra_second"]) == (True, False, 0, 1)
+    faults = {(r["period"], r["row_number"]): (r["exception_type"], r["second_method"]) for r in tracking.matched_exceptions(given, m, keys).collect()}
+    assert faults == {
+        (1, 1): ("Missing from Sheet 3", "Exact"), (1, 2): ("Missing from Sheet 3", "Exact"), (3, 21): ("Not in Sheet 1, extra in Sheet 3", None),
+        (3, 32): ("No baseline, only in Sheet 3", None), (2, 41): ("Not in Sheet 1, extra in Sheet 2", None),
+    }
+    # the fixture against the plain matcher
+    sides = {}
+    for r in derived(spark, SF, "periods").collect():
+        sides.setdefault((r["district"], r["school"], r["section"]), {1: [], 2: [], 3: []})[r["period"]].append((r["row_number"], r["student"]))
+    want = {k: tuple(len(plain_matches(v[1], v[p])) for p in (2, 3)) for k, v in sides.items() if v[1]}
+    table = queries.section_reconciliation_matched(spark, SF).where("has_baseline").collect()
+    assert {tuple(r[k] for k in keys): (r["matched_second"], r["matched_third"]) for r in table} == want
+    exact = {tuple(r[k] for k in keys): r["matched_second"] for r in queries.section_reconciliation(spark, SF).collect()}
+    assert sum(v[0] for v in want.values()) > sum(exact.values())
+
+
 def test_workbook_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 1.5, "green"), (2, "=A1", None, "red_name"), (3, None, None, None)], "id int, text string, n double, status string")
     path = str(tmp_path / "r.xlsx")
