@@ -27,9 +27,11 @@ NO_DATE = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
-#: One pass over the page: what is dropped with its content, comments, then tags.
+#: One pass over the page: what is dropped with its content, comments, then tags. The head is not dropped as a span,
+#: since its end tag may be left out; of what it holds only the title, scripts and styles have text. A "<" that no
+#: letter, slash, "!" or "?" follows is text.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!?/?([a-zA-Z][a-zA-Z0-9]*)?[^<>]*>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(?:/?([a-zA-Z][a-zA-Z0-9]*)|[/!?])[^<>]*>",
     re.S | re.I,
 )
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)

@@ -57,6 +57,13 @@ def test_plain_text_and_fields():
     assert warc.plain_text("<p>" + "x" * 100_000 + "<script>never closed") == "x" * 100_000
 
 
+def test_text_after_an_open_head_and_comparisons_stay():
+    page = "<!DOCTYPE html><html><head><title>x</title><style>p{}</style><body><p>All the text of the page</p></body></html>"
+    assert warc.plain_text(page) == "All the text of the page" and warc.page_fields(page) == [("title", "x")]
+    assert warc.plain_text("<p>if a < b and c > d</p><?php no ?><!x>end</ p>") == "if a < b and c > d\nend"
+    assert warc.plain_text("<head><meta charset=utf-8><p>first</p><HEADER>top</HEADER>") == "first\ntop"
+
+
 def test_derivatives_link_back(spark):
     rows = [(1, "http://a/", PAGE, "x"), (1, "http://a/", PAGE, "x"), (2, None, None, None), (None, "", "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, block string")
