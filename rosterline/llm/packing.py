@@ -24,6 +24,8 @@ MAX_SEGMENTS = 64
 PACK_ROWS = 40_000
 #: Distinct words whose ids a worker keeps.
 CACHE_ENTRIES = 600_000
+
+
 def tokenizer_path() -> str:
     """Default vocabulary file; found on the worker, where it is installed too."""
     import public_tokenizers
@@ -58,17 +60,18 @@ class _Known(dict):
 
 
 class BpeBytes:
-    """Ids of texts as little-endian unsigned 32-bit strings.
+    """Ids of texts as little-endian unsigned 32-bit strings, as the vocabulary file itself gives them.
 
     Words repeat, so each is encoded once per worker and looked up after that. The cache is emptied
-    when full.
+    when full. A text that holds the string of a special token goes to the file's own library whole, which
+    gives the token's id for it.
     """
 
     def __init__(self, path: str | None = None):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path or tokenizer_path())
-        self.encoder.encode_special_tokens = True
+        self.special = [token.content for token in self.encoder.get_added_tokens_decoder().values()]
         self.fast = self._ranks(path or tokenizer_path())
         self.known = _Known(self._ids)
 
@@ -97,12 +100,17 @@ class BpeBytes:
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         return tiktoken.Encoding("json", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def _ids(self, text: str) -> bytes:
-        if self.fast is not None:
-            return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+    def _own(self, text: str) -> bytes:
         return np.asarray(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _ids(self, text: str) -> bytes:
+        if self.fast is None:
+            return self._own(text)
+        return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+
     def __call__(self, text: str) -> bytes:
+        if any(token in text for token in self.special):
+            return self._own(text)
         first, *rest = text.split(" ")
         if self.fast is None or not rest:
             return self._ids(text)
@@ -192,15 +200,16 @@ def dot_product_bins(sizes: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray,
     return bins, place
 
 
-SEQUENCES = PIECES + ", sequence_id long, offset long, segment long"
+PLACES = "sequence_id long, offset long, segment long"
 
 
-def pack(pieces: DataFrame, tokens: int = SEQUENCE_TOKENS, segments: int = MAX_SEGMENTS, loss: int | None = None, rows: int = PACK_ROWS) -> DataFrame:
-    """Sequence and offset of every piece, within ``tokens``, ``segments`` and ``loss`` per sequence.
+def pack(pieces: DataFrame, tokens: int = SEQUENCE_TOKENS, segments: int = MAX_SEGMENTS, loss: int | None = None, rows: int = PACK_ROWS, keys: list[str] | None = None) -> DataFrame:
+    """Sequence and offset of every piece (length, loss_tokens), within ``tokens``, ``segments`` and ``loss`` per sequence.
 
-    Pieces are dealt by a hash of document and start into batches of about ``rows``; every batch is
+    Pieces are dealt by a hash of ``keys`` (document and start) into batches of about ``rows``; every batch is
     packed on its own. The sequence number holds the task's number in its upper bits.
     """
+    keys = keys or ["doc_id", "start"]
     limits = np.array([tokens, segments, loss or tokens], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,19 +247,59 @@ def pack(pieces: DataFrame, tokens: int = SEQUENCE_TOKENS, segments: int = MAX_S
         if n:
             yield flush()
 
-    dealt = pieces.repartition(F.xxhash64("doc_id", "start")).sortWithinPartitions("doc_id", "start", "ids_crc32")
-    return dealt.mapInArrow(run, SEQUENCES)
+    dealt = pieces.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, "ids_crc32")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
+    return dealt.mapInArrow(run, f"{fields}, {PLACES}")
 
 
-def pack_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokens: int = SEQUENCE_TOKENS, segments: int = MAX_SEGMENTS, path: str | None = None) -> DataFrame:
-    """All documents in sequences of at most ``tokens``; one row per piece.
+def pack_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokens: int = SEQUENCE_TOKENS, segments: int = MAX_SEGMENTS, loss: int | None = None, path: str | None = None) -> DataFrame:
+    """All documents in sequences of at most ``tokens``, ``segments`` and ``loss`` (as many as tokens where none); one row per piece.
 
-    Null texts count as empty and give one token. Equal rows are packed as often as they occur. Extra
-    columns of ``docs`` are left out. No documents give no rows.
+    All ids of a document but its end id bear loss, so a lower ``loss`` cuts pieces of that many tokens. Null texts
+    count as empty and give one token. Equal rows are packed as often as they occur. Extra columns of ``docs`` are
+    left out. No documents give no rows.
     """
-    got = pack(cut_pieces(docs, id_column, text_column, tokens, path), tokens, segments)
+    got = pack(cut_pieces(docs, id_column, text_column, min(tokens, loss or tokens), path), tokens, segments, loss)
     return got.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "segment", "loss_tokens")
 
 
+EXAMPLES = "conv_id long, turn long, start long, length long, ids_crc32 long, example_tokens long, loss_tokens long"
+
+
+def cut_turns(conversations: DataFrame, id_column: str = "conv_id", turn_column: str = "turn", role_column: str = "role", text_column: str = "text", learned: str = "assistant", tokens: int = SEQUENCE_TOKENS, path: str | None = None) -> DataFrame:
+    """Pieces of instruction data: the ids of a turn and an end id; only turns whose role is ``learned`` bear loss, end id included.
+
+    A null text counts as empty, a null role bears no loss. Pieces hold ``tokens`` at most.
+    """
+    text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
+    bears = F.coalesce(F.col(role_column) == F.lit(learned), F.lit(False)).alias("bears")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        for piece in text_pieces(batches):
+            out: list[list] = [[], [], [], [], [], [], []]
+            for conversation, text, turn, own in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+                ids = encode(text) + b"\0\0\0\0"
+                n = len(ids) // 4
+                for start in range(0, n, tokens):
+                    part = ids[4 * start : 4 * (start + tokens)]
+                    size = len(part) // 4
+                    for held, value in zip(out, (conversation, turn, start, size, zlib.crc32(part), n, size * own), strict=True):
+                        held.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=[c.split()[0] for c in EXAMPLES.split(", ")])
+
+    rows = conversations.select(F.col(id_column).cast("long").alias("conv_id"), text, F.col(turn_column).cast("long").alias("turn"), bears)
+    return rows.mapInArrow(run, EXAMPLES)
+
+
+def pack_conversations(conversations: DataFrame, tokens: int = SEQUENCE_TOKENS, segments: int = MAX_SEGMENTS, loss: int = SEQUENCE_TOKENS // 2, path: str | None = None, **columns: str) -> DataFrame:
+    """Turns of instruction data in sequences under all three limits; here ``loss`` binds, as only some turns bear it.
+
+    Pieces are cut to ``loss`` tokens, so that none exceeds a limit by itself. One row per piece.
+    """
+    pieces = cut_turns(conversations, tokens=min(tokens, loss), path=path, **columns)
+    return pack(pieces, tokens, segments, loss, keys=["conv_id", "turn", "start"])
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
