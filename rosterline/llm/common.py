@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,19 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(taken: Iterable[str], *names: str) -> list[str]:
+    """Column names like ``names`` that, in any case of letters, none of ``taken`` has."""
+    held = {c.lower() for c in taken}
+    found = []
+    for name in names:
+        own = f"__{name}"
+        while own.lower() in held:
+            own += "_"
+        held.add(own.lower())
+        found.append(own)
+    return found
+
+
 def drop_written(df: DataFrame) -> None:
     """Remove the files of a table from ``written`` that no later step reads."""
     for path in {f.rpartition("/")[0] for f in df.inputFiles()}:

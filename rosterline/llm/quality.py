@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import table, text_pieces
+from rosterline.llm.common import table, text_pieces, unused
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 18, 1 << 12
 #: Labelled rows the model is fitted on at most; which ones, a hash of the id decides.
@@ -37,7 +37,7 @@ SHAPE_SCALE = 8.0
 def _shape(word: str) -> str:
     """Word with runs of capitals, small letters and digits as one sign each; other characters stay, once."""
     out = []
-    for c in word[:64]:
+    for c in word:
         s = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != s:
             out.append(s)
@@ -84,8 +84,11 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class OrdinalModel:
+    """``rows``: number of rated rows it was fitted on; a model of none has no opinion and keeps everything."""
+
     weights: np.ndarray
     thresholds: np.ndarray
+    rows: int = 1
 
     def sums(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         return np.array([float(self.weights[at] @ value) for at, value in parts])
@@ -94,12 +97,39 @@ class OrdinalModel:
         """P(grade > k) for every k but the last, one row per sum."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - sums[:, None], -40, 40)))
 
+    def keeps(self, tails: np.ndarray, min_tail: float) -> np.ndarray:
+        return tails[:, -1] >= min_tail if self.rows else np.ones(len(tails), bool)
+
+
+def objective(free: np.ndarray, w: np.ndarray, at: np.ndarray, value: np.ndarray, row: np.ndarray, grade: np.ndarray, penalty: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log likelihood with the ridge penalty, and its gradient in ``w`` and in ``free``.
+
+    Thresholds stay ordered: the first is free[0], each gap is the exponential of a further free number.
+    """
+    n, cuts = len(grade), len(free)
+    theta = _thresholds(free)
+    sums = np.bincount(row, weights=w[at] * value, minlength=n)
+    below = 1 / (1 + np.exp(np.clip(sums[:, None] - theta[None, :], -40, 40)))
+    cdf = np.concatenate((np.zeros((n, 1)), below, np.ones((n, 1))), axis=1)
+    slope = cdf * (1 - cdf)
+    rows = np.arange(n)
+    p = np.maximum(cdf[rows, grade + 1] - cdf[rows, grade], 1e-9)
+    up, low = slope[rows, grade + 1] / p, slope[rows, grade] / p
+    pull = penalty / math.sqrt(n) / 10
+    g_w = np.bincount(at, weights=(up - low)[row] * value, minlength=len(w)) / n + pull * w
+    g_theta = np.array([(low[grade == k + 1].sum() - up[grade == k].sum()) / n for k in range(cuts)])
+    g_free = np.concatenate(([g_theta.sum()], np.exp(free[1:]) * np.cumsum(g_theta[::-1])[::-1][1:]))
+    return float(-np.log(p).mean() + pull * (w @ w) / 2), g_w, g_free
+
+
+def _thresholds(free: np.ndarray) -> np.ndarray:
+    return np.concatenate(([free[0]], free[0] + np.cumsum(np.exp(free[1:]))))
+
 
 def fit(at: np.ndarray, value: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, rounds: int = ROUNDS, rate: float = RATE, penalty: float = PENALTY) -> OrdinalModel:
     """Maximum likelihood with a ridge penalty on the weights, all rows in every round of adaptive steps.
 
-    Thresholds stay ordered: the first is free, each gap is the exponential of a free number. With no
-    rows all weights are 0 and every grade is as likely.
+    With no rows all weights are 0 and every grade is as likely.
     """
     cuts = grades - 1
     share = np.clip(np.cumsum(np.bincount(grade, minlength=grades))[:-1] / max(len(grade), 1), 0.02, 0.98)
@@ -110,28 +140,15 @@ def fit(at: np.ndarray, value: np.ndarray, row: np.ndarray, grade: np.ndarray, g
     used, at = np.unique(at, return_inverse=True)
     w = np.zeros(len(used))
     state = [np.zeros(len(w)), np.zeros(len(w)), np.zeros(cuts), np.zeros(cuts)]
-    n = len(grade)
-    for t in range(1, rounds + 1 if n else 1):
-        theta = np.concatenate(([free[0]], free[0] + np.cumsum(np.exp(free[1:]))))
-        sums = np.bincount(row, weights=w[at] * value, minlength=n)
-        below = 1 / (1 + np.exp(np.clip(sums[:, None] - theta[None, :], -40, 40)))
-        cdf = np.concatenate((np.zeros((n, 1)), below, np.ones((n, 1))), axis=1)
-        slope = cdf * (1 - cdf)
-        rows = np.arange(n)
-        p = np.maximum(cdf[rows, grade + 1] - cdf[rows, grade], 1e-9)
-        up, low = slope[rows, grade + 1] / p, slope[rows, grade] / p
-        toward = up - low
-        g_w = np.bincount(at, weights=toward[row] * value, minlength=len(w)) / n + penalty / math.sqrt(n) * w / 10
-        g_theta = np.array([(low[grade == k + 1].sum() - up[grade == k].sum()) / n for k in range(cuts)])
-        g_free = np.concatenate(([g_theta.sum()], np.exp(free[1:]) * np.cumsum(g_theta[::-1])[::-1][1:]))
+    for t in range(1, rounds + 1 if len(grade) else 1):
+        _, g_w, g_free = objective(free, w, at, value, row, grade, penalty)
         for x, g, m, v in ((w, g_w, state[0], state[1]), (free, g_free, state[2], state[3])):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             x -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    theta = np.concatenate(([free[0]], free[0] + np.cumsum(np.exp(free[1:]))))
     whole = np.zeros(WORD_BUCKETS + SHAPE_BUCKETS)
     whole[used] = w
-    return OrdinalModel(whole, theta)
+    return OrdinalModel(whole, _thresholds(free), len(grade))
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -174,17 +191,18 @@ SCORES = "expected_grade double, p_tail double, grade int, kept boolean"
 
 def score(docs: DataFrame, model: OrdinalModel, columns: list[str], text_column: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
     """``columns`` of ``docs`` with expected_grade, p_tail (of the highest grade), the likeliest grade, and kept."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
-    rows = docs.select(*columns, F.coalesce(F.col(text_column), F.lit("")).alias("__text"))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds, model.rows))
+    (own_text,) = unused(columns, "text")
+    rows = docs.select(*columns, F.coalesce(F.col(text_column), F.lit("")).alias(own_text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = OrdinalModel(*shared.value)
-        for piece in text_pieces(batches, "__text"):
+        for piece in text_pieces(batches, own_text):
             parts = [features(t) for t in piece.column(piece.num_columns - 1).to_pylist()]
             tails = own.tails(own.sums(parts))
             each = -np.diff(np.concatenate((np.ones((len(parts), 1)), tails, np.zeros((len(parts), 1))), axis=1), axis=1)
-            added = [tails.sum(axis=1), tails[:, -1], each.argmax(axis=1).astype(np.int32), tails[:, -1] >= min_tail]
+            added = [tails.sum(axis=1), tails[:, -1], each.argmax(axis=1).astype(np.int32), own.keeps(tails, min_tail)]
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[:-1], *map(pa.array, added)], names=[*columns, "expected_grade", "p_tail", "grade", "kept"]
             )
@@ -193,15 +211,19 @@ def score(docs: DataFrame, model: OrdinalModel, columns: list[str], text_column:
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel, text_column: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that reach ``min_tail`` of the highest grade."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+    """The rows of ``docs``, all columns as they are, that reach ``min_tail`` of the highest grade.
+
+    Null and empty texts have the length mark alone and get what it gives. Repeated rows are judged alike; no rows give
+    none. A model fitted on no rows keeps all.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds, model.rows))
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = OrdinalModel(*shared.value)
         for piece in text_pieces(batches, text_column):
             sums = own.sums([features(t or "") for t in piece.column(at).to_pylist()])
-            yield piece.filter(pa.array(own.tails(sums)[:, -1] >= min_tail))
+            yield piece.filter(pa.array(own.keeps(own.tails(sums), min_tail)))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -209,7 +231,8 @@ def keep_good(docs: DataFrame, model: OrdinalModel, text_column: str = "text", m
 def rate_documents(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, expected_grade, p_tail, grade, kept of every document; labelled or not makes no difference.
 
-    Null and empty texts have the length mark alone and get what it gives. Equal texts get equal results.
+    Null and empty texts have the length mark alone and get what it gives. Equal texts get equal results. With no
+    usable label every grade is as likely and all documents are kept.
     """
     return score(docs, fit_documents(docs, graded(labels), rows=rows), ["doc_id"])
 
