@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import components, drop_written, split_hot, text_pieces, written
-from rosterline.llm.simhash import _LOWER, _WORDS
+from rosterline.llm.common import components, drop_written, split_hot, text_pieces, unused, written
+from rosterline.llm.simhash import _LOWER, _WORDS, first_of_groups
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -158,9 +158,7 @@ def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", w
 
 def keep_dissimilar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY, **limits: int) -> DataFrame:
     """``docs`` with one row of every group of similar texts: the one of the smallest id, null ids last."""
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
-    groups = similar_groups(rows, "__row", text_column, words, least, **limits).withColumnRenamed("row", "__row")
-    order = F.struct(F.col(id_column).isNull().alias("missing"), F.col(id_column).alias("id"), F.col("__row"))
-    named = rows.select("__row", F.col(id_column)).join(groups, "__row")
-    first = named.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
-    return rows.join(first, "__row", "left_semi").select(*docs.columns)
+    row, group = unused(docs.columns, "row", "group")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()))
+    groups = similar_groups(rows, row, text_column, words, least, **limits).toDF(row, group)
+    return first_of_groups(rows, groups, row, group, id_column).select(*docs.columns)

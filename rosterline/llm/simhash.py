@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import components, local_roots, runs, split_hot, starts_of, table, text_pieces, written
+from rosterline.llm.common import components, local_roots, runs, split_hot, starts_of, table, text_pieces, unused, written
 
 SHINGLE_WORDS = 4
 MAX_DIFFERENT_BITS = 4
@@ -232,12 +232,18 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     Rows get a number of their own first, so repeated and missing ids are told apart.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))
-    groups = near_groups(rows, "__row", text_column, words, max_bits).select(F.col("doc_id").alias("__row"), "component_id")
-    order = F.struct(F.col(id_column).isNull().alias("missing"), F.col(id_column).alias("id"), F.col("__row"))
-    named = rows.select("__row", F.col(id_column)).join(groups, "__row")
-    first = named.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
-    return rows.join(first, "__row", "left_semi").select(*docs.columns)
+    row, group = unused(docs.columns, "row", "group")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()))
+    groups = near_groups(rows, row, text_column, words, max_bits).select(F.col("doc_id").alias(row), F.col("component_id").alias(group))
+    return first_of_groups(rows, groups, row, group, id_column).select(*docs.columns)
+
+
+def first_of_groups(rows: DataFrame, groups: DataFrame, row: str, group: str, id_column: str) -> DataFrame:
+    """The rows of ``rows`` that come first in their group, by ``id_column`` (nulls last), then by ``row``."""
+    order = F.struct(F.col(id_column).isNull().alias("missing"), F.col(id_column).alias("id"), F.col(row).alias("row"))
+    named = rows.select(row, id_column).join(groups, row)
+    first = named.groupBy(group).agg(F.min(order).alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(first, row, "left_semi")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
