@@ -19,8 +19,8 @@ from rosterline.llm.common import table, text_pieces
 MARK = "▁"
 #: Pre-tokens whose counts a worker keeps between batches.
 CACHE_ENTRIES = 500_000
-#: Longer pre-tokens are counted on their own, so no path of the trie is longer.
-TRIE_LENGTH = 64
+#: Pre-tokens longer than this share the trie like all others, but a worker does not keep their counts.
+KEPT_LENGTH = 64
 
 
 def vocabulary_path() -> str:
@@ -32,6 +32,9 @@ def vocabulary_path() -> str:
 class UnigramCounter:
     """Number of tokens of a text under the pieces and scores of a vocabulary file.
 
+    The scores are used as unigram scores whatever they stand for. Those of the default file are not log
+    probabilities but negative merge ranks, so that the best way is the one of earliest merges in sum.
+
     A pre-token is the mark for a space and a word between white space. Its tokens are the pieces with
     the largest sum of scores; of equal sums the one with fewer tokens counts. A character that begins
     no usable piece is as many tokens as it has bytes, each at ``byte_score``, lower than any piece.
@@ -90,29 +93,21 @@ class UnigramCounter:
             last = word
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Puts the counts of new pre-tokens into the store; keys are words without the mark."""
-        if len(self.counts) + len(words) > CACHE_ENTRIES:
-            self.counts.clear()
-        short = sorted(w for w in words if len(w) < TRIE_LENGTH)
-        self.counts.update(zip(short, self.count_sorted([MARK + w for w in short]), strict=True))
-
     def texts(self, texts: list[str]) -> list[tuple[int, int]]:
-        """(tokens, pre-tokens) of each text."""
+        """(tokens, pre-tokens) of each text; pre-tokens the worker does not know yet make up one trie."""
         split = [t.split() for t in texts]
-        fresh = set()
-        for words in split:
-            fresh.update(words)
-        fresh -= self.counts.keys()
+        fresh = set().union(*split) - self.counts.keys()
         if len(self.counts) + len(fresh) > CACHE_ENTRIES:
             self.counts.clear()
             fresh = set().union(*split)
-        self.learn(fresh)
-        long = {w: self.count_sorted([MARK + w])[0] for w in fresh if len(w) >= TRIE_LENGTH}
-        if not long:
-            get = self.counts.__getitem__
-            return [(sum(map(get, words)), len(words)) for words in split]
-        return [(sum(self.counts[w] if len(w) < TRIE_LENGTH else long[w] for w in words), len(words)) for words in split]
+        ordered = sorted(fresh)
+        self.counts.update(zip(ordered, self.count_sorted([MARK + w for w in ordered]), strict=True))
+        get = self.counts.__getitem__
+        out = [(sum(map(get, words)), len(words)) for words in split]
+        for w in ordered:
+            if len(w) > KEPT_LENGTH:
+                del self.counts[w]
+        return out
 
 
 @lru_cache(maxsize=1)
