@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,10 @@ from rosterline.llm.common import runs, starts_of, table, text_pieces, written
 WINDOW = 400
 #: Bytes of the strings among which the minimiser is chosen.
 GRAM = 100
+#: Words of a passage that is reported if it stands in two places, and of the strings among which its minimiser is chosen.
+PASSAGE_WORDS, PASSAGE_GRAM = 50, 8
+#: Windows of words that are compared together before each is compared by itself.
+PASSAGE_STEP = 8
 #: Windows of a piece.
 PIECE_WINDOWS = 32
 #: Different pieces with one key that one collection takes; of more, each window is compared by itself.
@@ -131,12 +137,42 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Runs of windows with one minimiser, of all texts of ``keyed`` documents."""
+class Words(dict):
+    """Numbers of words; equal words have equal numbers in every worker, different ones by a 64-bit hash different ones."""
+
+    def __missing__(self, word: bytes) -> int:
+        got = xxhash.xxh64_intdigest(word, 7)
+        if len(word) <= 64:
+            if len(self) >= 500_000:
+                self.clear()
+            self[word] = got
+        return got
+
+    def of(self, text: bytes) -> np.ndarray:
+        words = text.split()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+@lru_cache(maxsize=1)
+def _words() -> Words:
+    return Words()
+
+
+def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    each = [_words().of(t.as_py()) for t in column.cast(pa.large_binary())]
+    return np.concatenate([np.zeros(0, np.uint64), *each]), np.concatenate(([0], np.cumsum([len(x) for x in each]))).astype(np.int64)
+
+
+def _of(text: str, words: bool) -> np.ndarray:
+    return _words().of(text.encode()) if words else np.frombuffer(text.encode(), np.uint8)
+
+
+def scan(docs: DataFrame, window: int, gram: int, words: bool = False) -> DataFrame:
+    """Runs of windows with one minimiser, of all texts of ``keyed`` documents, over their bytes or their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_pieces(batches):
-            data, offsets = _bytes_of(piece.column(1))
+            data, offsets = (_words_of if words else _bytes_of)(piece.column(1))
             k1, k2 = piece.column(2).to_numpy(), piece.column(3).to_numpy()
             for core, seg, anchor, lo, hi in minimiser_runs(data, offsets, window, gram):
                 doc = np.searchsorted(offsets, lo, side="right") - 1
@@ -178,13 +214,13 @@ def with_texts(texts: DataFrame, wanted: DataFrame, fields: list[str]) -> DataFr
     return texts.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "at")
 
 
-def finer(texts: DataFrame, crowded: DataFrame, step: int, window: int) -> DataFrame:
+def finer(texts: DataFrame, crowded: DataFrame, step: int, window: int, words: bool = False) -> DataFrame:
     """Occurrences anew, keyed by all bytes that windows at ``step`` neighbouring offsets share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_pieces(batches):
             for k1, k2, text, at in zip(*(piece.column(i) for i in range(4)), strict=True):
-                data = np.frombuffer(text.as_py().encode(), np.uint8)
+                data = _of(text.as_py(), words)
                 part = at.values
                 anchor, lo, hi = (part.field(n).to_numpy().astype(np.int64) for n in ("anchor", "lo", "hi"))
                 core = part.field("core").to_numpy()
@@ -368,14 +404,50 @@ def compare_columns(texts: DataFrame, mixed: DataFrame, step: int, window: int)
     return placed.mapInArrow(sort, "k1 long, k2 long, lo int, hi int")
 
 
+def owned_texts(texts: DataFrame, level: DataFrame) -> DataFrame:
+    """(k1, k2, text) of the texts that ``level`` names, one row each."""
+    # the id is a key of the join, so the copies of one text do not meet in one task
+    owners = level.groupBy(F.col("k1").alias("o1"), F.col("k2").alias("o2")).agg(F.min("doc_id").alias("owner"))
+    own = (F.col("k1") == F.col("o1")) & (F.col("k2") == F.col("o2")) & F.col("doc_id").eqNullSafe(F.col("owner"))
+    return written(texts.join(owners, own).select("k1", "k2", "text"))
+
+
+def repeated_passages(texts: DataFrame, words: int = PASSAGE_WORDS, gram: int = PASSAGE_GRAM) -> DataFrame:
+    """(k1, k2, n_words): words of ``keyed`` texts inside a string of ``words`` words that starts anywhere else too.
+
+    White space tells words apart and counts for nothing else. The runs that only share a minimiser are settled
+    in pieces, then window by window; a window has few words, so no transform is built over them.
+    """
+    level = classify(written(scan(texts, words, gram, True)))
+    found = ["k1", "k2", "lo", "hi"]
+    spans = level.where("repeated").select(found)
+    held = None
+    for step in (PASSAGE_STEP, 1):
+        open_runs = level.where("first AND rivals > 1")
+        held = held or owned_texts(texts, open_runs)
+        level = classify(written(finer(held, open_runs, step, words, True)))
+        spans = spans.unionByName(level.where("repeated").select(found))
+    spans = spans.distinct()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = []
+            for at in batch.column(2):
+                lo, hi = (at.values.field(n).to_numpy().astype(np.int64) for n in ("lo", "hi"))
+                order = np.argsort(lo, kind="stable")
+                lo, end = lo[order], np.maximum.accumulate(hi[order]) + words
+                sizes.append(int((end - np.maximum(lo, np.concatenate(([0], end[:-1])))).clip(0).sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], names=["k1", "k2", "n_words"])
+
+    lists = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("at"))
+    return lists.mapInArrow(count, "k1 long, k2 long, n_words long")
+
+
 def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, cap: int = COLLECTION_CAP) -> DataFrame:
     """Keyed texts, the distinct texts of them that may hold repeats, and the window starts (k1, k2, lo, hi) that repeat."""
     texts = keyed(docs, id_column, text_column)
     level = classify(written(scan(texts, window, gram)))
-    # the id is a key of the join, so the copies of one text do not meet in one task
-    owners = level.groupBy(F.col("k1").alias("o1"), F.col("k2").alias("o2")).agg(F.min("doc_id").alias("owner"))
-    own = (F.col("k1") == F.col("o1")) & (F.col("k2") == F.col("o2")) & F.col("doc_id").eqNullSafe(F.col("owner"))
-    held = written(texts.join(owners, own).select("k1", "k2", "text"))
+    held = owned_texts(texts, level)
     found = ["k1", "k2", "lo", "hi"]
     spans = level.where("repeated").select(found)
     # pieces of few windows: most of what differs as a whole run is equal or alone as a piece
@@ -389,10 +461,11 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return texts, held, written(spans.distinct())
 
 
-def removed_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, cap: int = COLLECTION_CAP) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges removed).
+def removed_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, cap: int = COLLECTION_CAP, words: int = PASSAGE_WORDS, words_gram: int = PASSAGE_GRAM) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated_words, spans (byte ranges removed).
 
-    A null text is empty. Documents under ``window`` bytes lose nothing. Rows with equal texts of at
+    n_repeated_words counts the words in passages of ``words`` words or more that stand in two places; it removes
+    nothing, since in bytes such a passage can be shorter than ``window``. A null text is empty. Documents under ``window`` bytes lose nothing. Rows with equal texts of at
     least ``window`` bytes lose all of it, however often they occur. Texts are told apart by a 128-bit
     hash, segments under one core by a 64-bit hash with their place.
     """
@@ -424,16 +497,20 @@ def removed_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         cut, "k1 long, k2 long, n_removed long, n_spans long, kept string, spans array<struct<start:long,end:long>>"
     )
     size = F.octet_length("text").cast("long")
-    slim = texts.select("doc_id", "k1", "k2", size.alias("n_bytes"), F.sha2(F.encode("text", "UTF-8"), 256).alias("whole"))
-    copies = slim.where(F.col("n_bytes") >= window).groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("copied"))
-    got = slim.join(written(changed.join(copies, ["k1", "k2"], "full")), ["k1", "k2"], "left")
-    copied = F.coalesce("copied", F.lit(False))
+    own_words = F.size(F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).cast("long")
+    slim = texts.select("doc_id", "k1", "k2", size.alias("n_bytes"), own_words.alias("size"), F.sha2(F.encode("text", "UTF-8"), 256).alias("whole"))
+    copies = slim.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("copied"))
+    passages = repeated_passages(texts, words, words_gram)
+    got = slim.join(written(changed.join(copies, ["k1", "k2"], "full").join(passages, ["k1", "k2"], "full")), ["k1", "k2"], "left")
+    copied = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= window)
+    again = F.coalesce("copied", F.lit(False)) & (F.col("size") >= words)
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     return got.select(
         "doc_id", "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copied, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept", "whole")).alias("kept_sha256"),
+        F.when(again, F.col("size")).otherwise(F.coalesce("n_words", F.lit(0))).alias("n_repeated_words"),
         F.when(copied, everything).otherwise(F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>"))).alias("spans"),
     )
 

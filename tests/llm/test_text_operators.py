@@ -94,6 +94,27 @@ def plain_repeats(texts, window):
     return out
 
 
+def plain_passages(texts, words):
+    data = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(d[i : i + words]) for d in data for i in range(len(d) - words + 1))
+    out = []
+    for d in data:
+        held = set()
+        for i in range(len(d) - words + 1):
+            if seen[tuple(d[i : i + words])] > 1:
+                held.update(range(i, i + words))
+        out.append(len(held))
+    return out
+
+
+@pytest.mark.parametrize(("words", "gram"), [(50, 8), (12, 3)])
+def test_repeated_passages_equal_brute_force(docs, words, gram):
+    given = pairs(docs)
+    want = sorted(((i, n) for (i, _), n in zip(given, plain_passages([t for _, t in given], words), strict=True)), key=lambda r: tuple((x is None, str(x)) for x in r))
+    got = rows(repeats.removed_bytes(docs, words=words, words_gram=gram), "doc_id", "n_repeated_words")
+    assert got == want and sum(n > 0 for _, n in got) > 5
+
+
 @pytest.mark.parametrize(("window", "gram", "cap"), [(400, 100, 1500), (60, 20, 1)])
 def test_repeats_equal_brute_force(docs, nothing, window, gram, cap):
     given = pairs(docs)
@@ -202,6 +223,24 @@ def test_shards_are_even_and_places_gapless(spark, docs, nothing):
     assert sharding.shard_documents(nothing).count() == 0
 
 
+def test_maps_are_stored_and_edited(spark, tmp_path):
+    maps = f"file://{tmp_path}/maps"
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"))
+    copies = spark.range(2000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("the same").alias("text"))
+    first = sharding.shard_documents(many.union(copies), 8, 512, maps=maps).toPandas()
+    second = sharding.shard_documents(many.union(copies), 9, 512, maps=maps).toPandas()
+    assert set(first.map_version) == {1} and set(second.map_version) == {2}
+    assert sharding.stored_map(spark, maps, 1).count() == sharding.stored_map(spark, maps).count() == 512
+    for got, n in ((first, 8), (second, 9)):
+        sums = got.groupby("shard")["size"].sum()
+        assert len(sums) == n and sums.max() / sums.min() < 1.1
+        assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in got.groupby("shard"))
+    # copies of one row spread, and most slots stay where they were
+    assert first[first.doc_id == 5].virtual_slot.nunique() > 400
+    both = first.groupby("virtual_slot")["shard"].first().to_frame("a").join(second.groupby("virtual_slot")["shard"].first())
+    assert (both.a != both["shard"]).mean() < 0.2
+
+
 def test_rebalancing_edits_few_slots():
     loads = [(s, 100 + s % 7, 1) for s in range(1024)]
     first = sharding.plan_map(loads, 8, 1024)
@@ -218,7 +257,9 @@ def test_packing_round_trip(docs, nothing):
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(packing.tokenizer_path())
-    encoder.encode_special_tokens = True
+    special = docs.sparkSession.createDataFrame([(700, "a <|endoftext|> b"), (701, "<|endoftext|><|endoftext|>"), (702, "x<|endoftext|"), (703, "end <|ENDOFTEXT|> of")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").union(special)
+    assert np.frombuffer(packing.BpeBytes()("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
     got = packing.pack_documents(docs, tokens=64, segments=5).toPandas()
     want = Counter()
     for i, t in pairs(docs):
@@ -232,6 +273,21 @@ def test_packing_round_trip(docs, nothing):
     assert packing.pack_documents(nothing).count() == 0
 
 
+def test_loss_limit_binds(spark, docs, nothing):
+    got = packing.pack_documents(docs, tokens=64, segments=9, loss=40).toPandas()
+    sums = got.groupby("sequence_id")[["length", "loss_tokens"]].sum()
+    assert sums["loss_tokens"].max() == 40 and sums["length"].max() <= 64 and got["length"].sum() == packing.pack_documents(docs).toPandas()["length"].sum()
+    turns = [(c, k, role, "w " * (5 * (c + k) % 90), "x", 1) for c in range(60) for k, role in enumerate(("user", "assistant", None))] + [(None, None, None, None, "y", 2)]
+    talks = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, start string, offset int")
+    got = packing.pack_conversations(talks, tokens=128, segments=6, loss=50).toPandas()
+    assert (got["loss_tokens"].where(got["turn"] != 1, 0) == 0).all() and len(got.groupby(["conv_id", "turn"], dropna=False)) == len(turns)
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert g["length"].sum() <= 128 and g["loss_tokens"].sum() <= 50 and len(g) <= 6
+        assert g["offset"].tolist() == [0, *g["length"].cumsum().tolist()[:-1]]
+    assert got.groupby("sequence_id")["loss_tokens"].sum().max() > 45
+    assert packing.pack_conversations(talks.limit(0)).count() == 0
+
+
 def test_bins_keep_every_limit():
     rng = np.random.default_rng(0)
     n = rng.integers(1, 200, 500)
