@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import runs, starts_of, table, text_pieces, written
+from rosterline.llm.common import drop_written, runs, starts_of, table, text_pieces, written
 
 WINDOW = 400
 #: Bytes of the strings among which the minimiser is chosen.
@@ -163,10 +163,6 @@ def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, np.uint64), *each]), np.concatenate(([0], np.cumsum([len(x) for x in each]))).astype(np.int64)
 
 
-def _of(text: str, words: bool) -> np.ndarray:
-    return _words().of(text.encode()) if words else np.frombuffer(text.encode(), np.uint8)
-
-
 def scan(docs: DataFrame, window: int, gram: int, words: bool = False) -> DataFrame:
     """Runs of windows with one minimiser, of all texts of ``keyed`` documents, over their bytes or their words."""
 
@@ -192,20 +188,25 @@ def classify(occurrences: DataFrame) -> DataFrame:
     repeated: the whole segment occurs elsewhere. rivals: number of different segments under the core.
     first: this occurrence stands for its segment. All sums are of fixed size per key, so a core with a
     third of all occurrences is summed before the shuffle. The sums are written tables: both sides of
-    every join are then plain shuffles, which the adaptive skew join can split.
+    every join are then plain shuffles, which the adaptive skew join can split. A table is removed, ``occurrences`` if
+    it is a written one too, once the table made of it is there.
     """
     o = F.xxhash64("k1", "k2", "lo")
     both = occurrences.groupBy("core").agg(F.min(o).alias("a"), F.max(o).alias("b")).where("a <> b").select("core")
     both = written(both)
     rows = written(occurrences.join(both, "core", "left_semi").withColumn("o", o))
+    for done in (occurrences, both):
+        drop_written(done)
     segs = written(rows.groupBy("core", "seg").agg(F.min("o").alias("least"), F.max("o").alias("most")))
     rivals = written(segs.groupBy("core").agg(F.count("*").alias("rivals")))
     got = rows.join(segs, ["core", "seg"]).join(rivals, "core")
-    got = got.selectExpr(
+    got = written(got.selectExpr(
         "core", "seg", "k1", "k2", "doc_id", "anchor", "lo", "hi", "rivals",
         "least <> most AS repeated", "o = least AS first",
-    )
-    return written(got)
+    ))
+    for done in (rows, segs, rivals):
+        drop_written(done)
+    return got
 
 
 def with_texts(texts: DataFrame, wanted: DataFrame, fields: list[str]) -> DataFrame:
@@ -218,28 +219,31 @@ def finer(texts: DataFrame, crowded: DataFrame, step: int, window: int, words: b
     """Occurrences anew, keyed by all bytes that windows at ``step`` neighbouring offsets share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_pieces(batches):
-            for k1, k2, text, at in zip(*(piece.column(i) for i in range(4)), strict=True):
-                data = _of(text.as_py(), words)
-                part = at.values
-                anchor, lo, hi = (part.field(n).to_numpy().astype(np.int64) for n in ("anchor", "lo", "hi"))
-                core = part.field("core").to_numpy()
-                j0, j1 = (anchor - hi) // step, (anchor - lo) // step
-                n = j1 - j0 + 1
-                who = np.repeat(np.arange(len(n)), n)
-                j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + j0[who]
-                begin = np.maximum(lo[who], anchor[who] - j * step - step + 1)
-                end = np.minimum(hi[who], anchor[who] - j * step)
-                prefix = Prefixes(data)
-                salt = core[who].view(np.uint64) + j.astype(np.uint64)
-                keys = prefix.of(anchor[who] - j * step, np.full(len(j), window - step + 1), salt)
-                segs = prefix.of(begin, end - begin + window, anchor[who] - begin)
-                size = len(j)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(segs.view(np.int64)), pa.array(np.full(size, k1.as_py())), pa.array(np.full(size, k2.as_py())), pa.nulls(size, pa.int64())]
-                    + [pa.array(x.astype(np.int32)) for x in (anchor[who], begin, end)],
-                    names=["core", "seg", "k1", "k2", "doc_id", "anchor", "lo", "hi"],
-                )
+        for piece in text_pieces(batches, limit=SCAN_BYTES):
+            data, offsets = (_words_of if words else _bytes_of)(piece.column(2))
+            at = piece.column(3)
+            text = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy())
+            part, base = at.flatten(), offsets[text]
+            anchor, lo, hi = (part.field(n).to_numpy().astype(np.int64) + base for n in ("anchor", "lo", "hi"))
+            core = part.field("core").to_numpy()
+            # places are counted over all texts of the piece; no window leaves its text
+            j0, j1 = (anchor - hi) // step, (anchor - lo) // step
+            n = j1 - j0 + 1
+            who = np.repeat(np.arange(len(n)), n)
+            j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + j0[who]
+            begin = np.maximum(lo[who], anchor[who] - j * step - step + 1)
+            end = np.minimum(hi[who], anchor[who] - j * step)
+            prefix = Prefixes(data)
+            salt = core[who].view(np.uint64) + j.astype(np.uint64)
+            keys = prefix.of(anchor[who] - j * step, np.full(len(j), window - step + 1), salt)
+            segs = prefix.of(begin, end - begin + window, anchor[who] - begin)
+            own = text[who]
+            names = [piece.column(i).take(pa.array(own)) for i in (0, 1)]
+            places = [pa.array((x - offsets[own]).astype(np.int32)) for x in (anchor[who], begin, end)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(segs.view(np.int64)), *names, pa.nulls(len(j), pa.int64()), *places],
+                names=["core", "seg", "k1", "k2", "doc_id", "anchor", "lo", "hi"],
+            )
 
     wanted = with_texts(texts, crowded, ["core", "anchor", "lo", "hi"])
     return wanted.select("k1", "k2", "text", "at").mapInArrow(run, OCCURRENCES)
