@@ -39,13 +39,20 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new place in the shared folder, emptied when the session's program ends."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: lost executors cost no recomputation, lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    got = df.sparkSession.read.schema(df.schema).parquet(path)
+    got.written_at = path
+    return got
 
 
 def unused(taken: Iterable[str], *names: str) -> list[str]:
@@ -62,8 +69,9 @@ def unused(taken: Iterable[str], *names: str) -> list[str]:
 
 
 def drop_written(df: DataFrame) -> None:
-    """Remove the files of a table from ``written`` that no later step reads."""
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+    """Removes a table that came from ``written`` and that no later step reads; anything else stays as it is."""
+    path = df.__dict__.get("written_at")
+    if path:
         _remove(df.sparkSession, path)
 
 
