@@ -1,8 +1,9 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
-A rotation is learned on a bounded sample so that the signs of the rotated vector make balanced
-binary codes. Parts of the codes are keys of hash tables; vectors that share a key in any table are
-compared in full by cosine in double precision, each pair in the first table where it meets.
+Rotations are learned on a bounded sample so that the signs of the rotated vector make balanced binary
+codes. Parts of the codes are keys of hash tables, and only codes travel to the tables: of the vectors that
+share a key, those that are near by Hamming distance, in the first table where they meet, are looked up in
+full and compared by cosine in double precision.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ MEAN_BUCKET, BUCKET_CAP = 64, 4096
 RECALL = 0.995
 SEED = 11
 BLOCK = 512
+#: Codes of 64 bits that the Hamming distance is taken over at most, and how far over the mean its limit lies.
+FILTER_CODES, SPREAD = 4, 6.0
 
 
 def fit_rotations(sample: np.ndarray, count: int, rounds: int = 20, seed: int = SEED) -> list[np.ndarray]:
@@ -63,10 +66,10 @@ def plan_tables(n: int, dims: int, cosine: float = COSINE, recall: float = RECAL
 
 
 class Codes:
-    """Keys of vectors in all tables. Vectors of other lengths than the fitted one get seeded rotations."""
+    """Binary codes of vectors and their keys in all tables. Vectors of other lengths than the fitted ones get seeded rotations."""
 
-    def __init__(self, rotations: dict[int, list[np.ndarray]], bits: int, tables: int):
-        self.rotations, self.bits, self.tables = rotations, bits, tables
+    def __init__(self, rotations: dict[int, list[np.ndarray]], bits: int, tables: int, cosine: float):
+        self.rotations, self.bits, self.tables, self.cosine = rotations, bits, tables, cosine
 
     def rotations_of(self, d: int) -> list[np.ndarray]:
         if d not in self.rotations:
@@ -74,16 +77,25 @@ class Codes:
             self.rotations[d] = fit_rotations(np.zeros((0, d)), need)
         return self.rotations[d]
 
-    def keys(self, x: np.ndarray) -> np.ndarray:
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """(rows, rotations) codes, one unsigned number per rotation."""
+        place = np.uint64(1) << np.arange(min(64, x.shape[1]), dtype=np.uint64)
+        return np.stack([(x @ r >= 0) @ place for r in self.rotations_of(x.shape[1])], axis=1)
+
+    def keys(self, codes: np.ndarray, d: int) -> np.ndarray:
         """(rows, tables) keys; the length of the vectors is mixed in, so other lengths never meet."""
-        d = x.shape[1]
         bits = min(self.bits, d)
-        out = []
-        for r in self.rotations_of(d):
-            sign = (x @ r >= 0).astype(np.int64)
-            for k in range(sign.shape[1] // bits):
-                out.append(sign[:, k * bits : (k + 1) * bits] @ (1 << np.arange(bits)))
-        return np.stack(out[: self.tables], axis=1) + (np.int64(d) << 32)
+        parts = [(codes[:, [r]] >> np.uint64(k * bits)) & np.uint64((1 << bits) - 1) for r in range(codes.shape[1]) for k in range(min(64, d) // bits)]
+        return np.concatenate(parts[: self.tables], axis=1).astype(np.int64) + (np.int64(d) << 32)
+
+    def near(self, codes: np.ndarray, d: int) -> tuple[np.ndarray, int]:
+        """The codes by which vectors are told near, and at how many differing bits.
+
+        At the cosine limit a bit differs with a chance of angle / pi; the limit lies SPREAD standard deviations above.
+        """
+        used = codes[:, :FILTER_CODES]
+        n, p = used.shape[1] * min(64, d), math.acos(min(self.cosine, 1.0)) / math.pi
+        return used, math.ceil(n * p + SPREAD * math.sqrt(n * p * (1 - p)))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -104,12 +116,16 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
 
     Equal vectors are one class, compared once; their rows are linked with each other. Vectors that are
     null, empty, zero or hold null or non-finite components, and rows without an id, link with nothing.
-    Vectors of different lengths never link. Rows that repeat an id count as rows of their own.
+    Vectors of different lengths never link. Rows that repeat an id count as rows of their own. Equal vectors are told
+    by a 128-bit hash. Only id and vector are read, so further columns do not matter; no rows give none.
     """
-    rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("embedding"))
+    kind = vectors.schema[vector_column].dataType
+    vector = F.col(vector_column) if kind.simpleString() == "array<float>" else F.col(vector_column).cast("array<double>")
+    rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("embedding"))
     sound = rows.where(usable("embedding") & F.col("vec_id").isNotNull())
+    equal = [F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2")]
     classes = sound.groupBy("embedding").agg(F.min("vec_id").alias("cid"), F.count("*").alias("mult"))
-    classes = written(classes.withColumn("uid", F.monotonically_increasing_id()))
+    classes = written(classes.select("embedding", "cid", "mult", *equal, F.monotonically_increasing_id().alias("uid")))
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("embedding", F.lit(SEED)), "cid").limit(sample_rows).select("embedding").toPandas()["embedding"]
     by_length: dict[int, list] = {}
@@ -122,7 +138,7 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
         x = np.array(v, np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         rotations[d] = fit_rotations(x, math.ceil(tables / max(1, min(64, d) // min(bits, d))))
-    codes = Codes(rotations, bits, tables)
+    codes = Codes(rotations, bits, tables, cosine)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,16 +147,35 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
                 x = _unit(_matrix(column.take(pa.array(at))))
-                keys = codes.keys(x)
+                code = codes.codes(x)
+                keys = codes.keys(code, int(d))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at)), pa.array(list(keys), pa.list_(pa.int64()))], names=["uid", "keys"]
+                    [batch.column(0).take(pa.array(at)), pa.array(np.full(len(at), d, np.int32)), pa.array(list(code.view(np.int64)), pa.list_(pa.int64())), pa.array(list(keys), pa.list_(pa.int64()))],
+                    names=["uid", "d", "code", "keys"],
                 )
 
-    keyed = classes.select("uid", "embedding").mapInArrow(encode, "uid long, keys array<long>")
-    slim = keyed.select("uid", "keys", F.posexplode("keys").alias("t", "k"))
-    dealt = split_hot(slim.select("uid", "t", "k"), ["t", "k"], F.col("uid"), cap)
+    keyed = written(classes.select("uid", "embedding").mapInArrow(encode, "uid long, d int, code array<long>, keys array<long>"))
+    slim = keyed.select("uid", "d", "code", F.posexplode("keys").alias("t", "k"))
     order = ["t", "k", "bi", "bj"]
-    full = dealt.join(classes.select("uid", "embedding", "mult"), "uid")
+    dealt = split_hot(slim, ["t", "k"], F.col("uid"), cap).repartition(*order).sortWithinPartitions(*order, "uid")
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in runs(batches, order, 20_000):
+            begins = starts_of(part, order)
+            ends = np.append(begins[1:], part.num_rows)
+            t, blk, size = part.column("t").to_numpy(), part.column("blk").to_numpy(), part.column("d").to_numpy()
+            cross = part.column("bi").to_numpy() != part.column("bj").to_numpy()
+            column = part.column("code").combine_chunks()
+            met = np.zeros(part.num_rows, bool)
+            for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+                if b - a > 1:
+                    own = column.slice(a, b - a).flatten().to_numpy().view(np.uint64).reshape(b - a, -1)
+                    met[a:b] = _meets(codes, own, int(size[a]), int(t[a]), blk[a:b] if cross[a] else None)
+            if met.any():
+                yield part.select(["uid", "code", *order, "blk"]).filter(pa.array(met)).combine_chunks().to_batches()[0]
+
+    near = dealt.select("uid", "d", "code", *order, "blk").mapInArrow(probe, "uid long, code array<long>, t int, k long, bi int, bj int, blk int")
+    full = near.join(classes.select("uid", "embedding", "mult"), "uid")
     placed = full.repartition(*order).sortWithinPartitions(*order, "uid")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,12 +185,13 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
             uid, mult = part.column("uid").to_numpy(), part.column("mult").to_numpy()
             t, blk = part.column("t").to_numpy(), part.column("blk").to_numpy()
             cross = part.column("bi").to_numpy() != part.column("bj").to_numpy()
-            column = part.column("embedding").combine_chunks()
+            column, code = part.column("embedding").combine_chunks(), part.column("code").combine_chunks()
             out: list[list[np.ndarray]] = [[], [], []]
             for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
                 if b - a > 1:
                     x = _unit(_matrix(column.slice(a, b - a)))
-                    links, root = _bucket(x, codes.keys(x), int(t[a]), mult[a:b], blk[a:b] if cross[a] else None, cosine)
+                    own = code.slice(a, b - a).flatten().to_numpy().view(np.uint64).reshape(b - a, -1)
+                    links, root = _bucket(x, codes.keys(own, x.shape[1]), int(t[a]), mult[a:b], blk[a:b] if cross[a] else None, cosine)
                     hit = np.flatnonzero(links)
                     for held, value in zip(out, (uid[a:b][hit], links[hit], uid[a:b][root[hit]]), strict=True):
                         held.append(value)
@@ -163,17 +199,17 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
                 got = [pa.array(np.concatenate(x)) for x in out]
                 yield pa.RecordBatch.from_arrays(got, names=["uid", "links", "root"])
 
-    found = written(placed.select("uid", "embedding", "mult", *order, "blk").mapInArrow(compare, "uid long, links long, root long"))
+    found = written(placed.select("uid", "embedding", "code", "mult", *order, "blk").mapInArrow(compare, "uid long, links long, root long"))
     star = components(found.select(F.col("uid").alias("src"), F.col("root").alias("dst")))
     links = found.groupBy("uid").agg(F.sum("links").alias("links"))
-    named = classes.select("uid", "cid", "mult", "embedding").join(links, "uid", "left")
+    named = classes.select("uid", "cid", "mult", "k1", "k2").join(links, "uid", "left")
     named = named.join(star.withColumnRenamed("node", "uid"), "uid", "left")
     named = named.withColumn("component", F.coalesce("component", "uid"))
     least = written(named.groupBy("component").agg(F.min("cid").alias("component_id")))
     named = named.join(least, "component").select(
-        "embedding", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id"
+        "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id"
     )
-    linked = sound.join(named, "embedding").select("vec_id", "n_links", "component_id")
+    linked = sound.select("vec_id", *equal).join(named, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~(usable("embedding") & F.col("vec_id").isNotNull())).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
@@ -185,6 +221,29 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _meets(codes: Codes, code: np.ndarray, d: int, t: int, blk: np.ndarray | None) -> np.ndarray:
+    """Which vectors of a bucket have a Hamming neighbour in it that no earlier table brought them together with."""
+    used, limit = codes.near(code, d)
+    keys = codes.keys(code, d)[:, :t]
+    met = np.zeros(len(code), bool)
+    for i in range(0, len(code), BLOCK):
+        for j in range(i, len(code), BLOCK):
+            apart = np.zeros((len(used[i : i + BLOCK]), len(used[j : j + BLOCK])), np.uint16)
+            for word in used.T:
+                apart += np.bitwise_count(word[i : i + BLOCK, None] ^ word[None, j : j + BLOCK])
+            a, b = np.nonzero(apart <= limit)
+            a, b = a + i, b + j
+            use = (a < b) & ~(met[a] & met[b])
+            if blk is not None:
+                use &= blk[a] != blk[b]
+            a, b = a[use], b[use]
+            if t and len(a):
+                new = ~(keys[a] == keys[b]).any(axis=1)
+                a, b = a[new], b[new]
+            met[a] = met[b] = True
+    return met
+
+
 def _bucket(x: np.ndarray, keys: np.ndarray, t: int, mult: np.ndarray, blk: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of each vector of a bucket that meet here first, and the first member of its local component."""
     n = len(x)
