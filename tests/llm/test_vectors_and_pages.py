@@ -6,11 +6,14 @@ import base64
 import gzip
 import hashlib
 import html
+import io
 import re
+import time
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pytest
 from rosterline.llm import decontam, embedding, pii, warc
 
 
@@ -89,9 +92,14 @@ def test_warc_files_round_trip(spark, tmp_path):
     (tmp_path / "in/b.warc").write_bytes(request + record)
     made = warc.response_derivatives(warc.read_responses(spark, str(tmp_path / "in")))
     warc.write_warc(made, str(tmp_path / "out"))
-    back = [r for f in (tmp_path / "out").glob("*.gz") for r in warc.parse_records(f.read_bytes())]
-    assert len(back) == 4
+    files = [tmp_path / "out" / line.split()[0] for line in (tmp_path / "out/_files").read_text().splitlines()]
+    back = [r for f in files for r in warc.parse_records(f.open("rb"))]
+    assert [f["warc-type"] for f, _ in back].count("warcinfo") == len(files) and len(back) == 4 + len(files)
+    # every record is a gzip member of its own
+    assert sum(f.read_bytes().count(b"\x1f\x8b\x08") for f in files) == len(back)
     for fields, data in back:
+        if fields["warc-type"] == "warcinfo":
+            continue
         assert fields["warc-refers-to"] == "<urn:uuid:1>" and fields["warc-refers-to-date"] == "2020-01-02T03:04:05Z"
         assert fields["warc-block-digest"] == warc.digest(data)
         if fields["warc-type"] == "metadata":
@@ -101,6 +109,45 @@ def test_warc_files_round_trip(spark, tmp_path):
             assert data.decode() == warc.plain_text(PAGE)
 
 
+def test_malformed_headers_do_not_stop_a_file():
+    bad = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: x\r\n\r\nlost\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"
+    good = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    assert [(f["warc-type"], b) for f, b in warc.parse_records(io.BytesIO(bad + good))] == [("response", b""), ("response", b""), ("resource", b"ok")]
+
+
+@pytest.mark.parametrize("part", ["<a ", "<script ", "<title>", "<script>", "<!--", "<a href=", "<p", "</", "<a href='x' "])
+def test_open_markup_takes_time_in_proportion(part):
+    took = []
+    for n in (20_000, 80_000):
+        began = time.process_time()
+        warc.plain_text(part * n)
+        warc.page_fields(part * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0] + 0.2
+
+
+def test_records_equal_plain_ones(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {(r["page_id"], r["record_type"]): r for r in warc.page_derivatives(pages).collect()}
+    given = pages.collect()
+    assert len(got) == 2 * len(given)
+    sha = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    for p in given:
+        body = p["html"].encode()
+        head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}"
+        meta, text = got[p["page_id"], "metadata"], got[p["page_id"], "conversion"]
+        for r in (meta, text):
+            fields = dict(line.split(": ", 1) for line in r["warc_header"].strip().splitlines()[1:])
+            assert fields["WARC-Refers-To"] == r["refers_to"] == meta["refers_to"] and fields["WARC-Record-ID"] == r["record_id"] != meta["refers_to"]
+            assert fields["WARC-Target-URI"] == fields["WARC-Refers-To-Target-URI"] == p["url"] and fields["WARC-Refers-To-Date"] == fields["WARC-Date"]
+            assert fields["WARC-Block-Digest"] == sha(r["block"].encode()) and int(fields["Content-Length"]) == len(r["block"].encode())
+            assert r["source_payload_digest"] == sha(body) and r["source_block_digest"] == sha(f"{head}\r\n\r\n".encode() + body) and r["source_headers"] == head
+        want = [f"outlink: {' '.join(html.unescape(x).split())}" for x in re.findall(r'<a\b[^<>]*?\bhref="([^"]*)"', p["html"])]
+        lines = meta["block"].split("\r\n")
+        assert [x for x in lines if x.startswith("outlink")] == want and f"text-characters: {len(text['block'])}" in lines
+        assert f"source-payload-digest: {sha(body)}" in lines and "http-content-type: text/html; charset=utf-8" in lines
+
+
 def test_text_agrees_with_a_parser(spark):
     from html.parser import HTMLParser
 
