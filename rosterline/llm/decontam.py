@@ -53,7 +53,9 @@ class Index:
             if not ids:
                 continue
             self.items.append((item, np.array(ids, np.int32)))
-            units += [(len(self.items) - 1, ids[i : i + UNIT_WORDS]) for i in range(0, len(ids), UNIT_WORDS)]
+            # units of nearly equal size, so that no item leaves a tail of a word or two that any text holds
+            n = -(-len(ids) // UNIT_WORDS)
+            units += [(len(self.items) - 1, ids[k * len(ids) // n : (k + 1) * len(ids) // n]) for k in range(n)]
         self.unit_item = np.array([k for k, _ in units], np.int32)
         lists: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         seen = Counter(t for _, ids in units for t in set(ids))
@@ -286,7 +288,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, index_words: int = INDEX_WORDS) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, into which no test item leaks."""
+    """The rows of ``docs``, all columns as they are, into which no test item leaks.
+
+    Null and empty texts hold no item and stay. Repeated rows are judged alike. No documents give no rows, no items keep all.
+    """
     at = docs.columns.index(text_column)
     kept = docs
     for index in _indexes(benchmark, item_column, item_text, threshold, index_words):
