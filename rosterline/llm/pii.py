@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import table, written
+from rosterline.llm.common import table, unused, written
 
 #: Fixed patterns by kind. The look-behind and the possessive loops only spare search work: a match starts
 #: where a run of its characters starts or right after a match, and no loop could give back what would help.
@@ -31,7 +31,8 @@ LEARNED = "learned"
 WORD = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z._%+-]*+[0-9](?:[._%+-]*+[A-Za-z0-9]++)*+"
 GROUPS = r"(?:(?<![A-Za-z0-9._%+-])|\G)\(?[0-9]++(?![A-Za-z_%+])(?:\)?+[ .-]?+\(?+[0-9]++(?![A-Za-z_%+]))++(?!-[A-Za-z])"
 CANDIDATE = f"{GROUPS}|{WORD}"
-#: Characters before a match that are looked at, the two words at their end, and the marks at the end of a word.
+#: Characters before a match that are looked at, the two words at their end, and the marks at the end of a word. A word is
+#: known by its last LEFT_WORD characters, here and where its places are counted, so a longer one is a pattern too.
 LEFT_CHARS = 48
 LEFT_WORD = 24
 LEFT = r"(?:\S{1,24}\s+)?(?:\S{1,24}\s+|\S{0,23}[:=#\"'(\[<])$"
@@ -39,6 +40,8 @@ LEFT = r"(?:\S{1,24}\s+)?(?:\S{1,24}\s+|\S{0,23}[:=#\"'(\[<])$"
 GLUED = r"([:=#\"'(\[<])(?=[^\s:=#\"'(\[<])"
 MARKS = r"[^\p{L}\p{N}]+$"
 ROUNDS = 3
+#: Matches of a text that are put together at a time.
+BLOCK = 256
 #: A pattern is believed with so many different identifiers, and such a share of known ones among them.
 MIN_INSTANCES, MIN_CONFIDENCE = 5, 0.6
 #: An identifier must follow at such a share of the places where a pattern stands.
@@ -70,7 +73,8 @@ def matches(text: Column, kind: str, pattern: str, needs: str) -> Column:
     """
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.zip_with(F.split(text, pattern, -1), values, lambda p, v: F.struct(F.length(p).cast("long").alias("gap"), v.alias("value")))
-    none = F.array().cast(f"array<{FOUND}>")
+    both = F.filter(both, lambda x: x["value"].isNotNull())
+    none, no_blocks = F.array().cast(f"array<{FOUND}>"), F.array().cast(f"array<array<{FOUND}>>")
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
@@ -79,8 +83,14 @@ def matches(text: Column, kind: str, pattern: str, needs: str) -> Column:
         out = F.when(_valid(kind, x["value"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(end.alias("at"), out.alias("out"))
 
-    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
-    folded = F.aggregate(F.filter(both, lambda x: x["value"].isNotNull()), begin, step, lambda acc: acc["out"])
+    def block(acc: Column, x: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), none.alias("out"))
+        return F.aggregate(x, begin, step, lambda got: F.struct(got["at"].alias("at"), F.concat(acc["out"], F.array(got["out"])).alias("out")))
+
+    # spans grow inside blocks and blocks are put together once, so many matches in a text are not copied with every further one
+    n = F.floor((F.size(both) - 1) / F.lit(BLOCK)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), lambda i: F.slice(both, i * F.lit(BLOCK) + 1, F.lit(BLOCK)))
+    folded = F.aggregate(blocks, F.struct(F.lit(0).cast("long").alias("at"), no_blocks.alias("out")), block, lambda acc: F.flatten(acc["out"]))
     able = F.contains(text, F.lit(needs)) if needs == "@" else F.rlike(text, F.lit(needs))
     return F.when(able, folded).otherwise(none)
 
@@ -226,19 +236,20 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def mask_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with personal data in the text replaced; rows and other columns stay, a null text stays null."""
+    """``docs`` with personal data in the text replaced; rows and other columns stay, a null text stays null.
+
+    Repeated rows are masked alike, empty texts have nothing to mask, no rows give none.
+    """
     prepared = _prepared(docs, id_column, text_column)
     learned = written(learned_spans(prepared))
     text = F.coalesce(F.col(text_column), F.lit(""))
     slim = F.transform(base_spans(text), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    rows = docs.withColumn("__spans", slim)
+    spans, k1, k2, more = unused(docs.columns, "spans", "k1", "k2", "learned")
+    rows = docs.withColumn(spans, slim)
     if not learned.isEmpty():
-        keys = docs.columns
-        rows = rows.withColumns({"__k1": F.xxhash64(text), "__k2": F.xxhash64(F.lit(1), text)})
-        rows = rows.join(learned.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("learned").alias("__learned")), ["__k1", "__k2"], "left")
-        more = F.coalesce("__learned", F.array().cast(f"array<{SPAN}>"))
-        rows = rows.select(*keys, F.concat("__spans", more).alias("__spans"))
-    changed = F.when(F.col(text_column).isNotNull(), masked(F.col(text_column), F.col("__spans")))
+        rows = rows.withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)}).join(learned.toDF(k1, k2, more), [k1, k2], "left")
+        rows = rows.withColumn(spans, F.concat(spans, F.coalesce(more, F.array().cast(f"array<{SPAN}>"))))
+    changed = F.when(F.col(text_column).isNotNull(), masked(F.col(text_column), F.col(spans)))
     return rows.withColumn(text_column, changed).select(*docs.columns)
 
 
