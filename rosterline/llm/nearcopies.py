@@ -1,8 +1,10 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands propose pairs, the texts decide.
+"""Near copies by the Jaccard similarity of word shingles: the Gray index over SimHash fingerprints first, then the rest.
 
-At a similarity of 0.8 fingerprints of 64 bits differ in about ten bits and often in more, while those of
-unrelated texts come that near too, so a bit limit either misses copies or meets nearly every pair. Here
-texts that share a band of minima meet in a bucket, and a pair counts once its shingles are compared exactly.
+Fingerprints of five-word shingles that differ in few bits are found by the hierarchical index of ``simhash``
+and linked once their shingles are compared exactly. At a similarity of 0.8 fingerprints of 64 bits differ in
+about ten bits and often in more, while those of unrelated texts come that near too, so no bit limit reaches
+all such copies; the exact way for the rest is that texts which share a band of minima meet in a bucket, and
+those not linked yet are compared there.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import components, drop_written, split_hot, text_pieces, unused, written
-from rosterline.llm.simhash import _LOWER, _WORDS, first_of_groups
+from rosterline.llm.simhash import _LOWER, _WORDS, MAX_DIFFERENT_BITS, fingerprint, first_of_groups, near_links
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -56,22 +58,38 @@ def band_keys(found: set[bytes]) -> list[int]:
 
 
 def signatures(rows: DataFrame, id_column: str, text_column: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(row, h1, h2, n, keys): a 128-bit hash of the words, the number of shingles and the band keys of every row."""
+    """(row, h1, h2, n, fp, keys): a 128-bit hash of the words, the number of shingles, fingerprint and band keys of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_pieces(batches):
             out = []
             for text in piece.column(1).cast(pa.binary()):
-                tokens = words_of(text.as_py())
+                data = text.as_py()
+                tokens = words_of(data)
                 found = shingles(tokens, words)
                 whole = xxhash.xxh128_intdigest(b" ".join(tokens), SEED)
-                out.append(((whole >> 64) - (1 << 63), (whole & (1 << 64) - 1) - (1 << 63), len(found), band_keys(found) if found else []))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                code = int(np.uint64(fingerprint(data, words)).view(np.int64))
+                out.append(((whole >> 64) - (1 << 63), (whole & (1 << 64) - 1) - (1 << 63), len(found), code, band_keys(found) if found else []))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([piece.column(0), *columns], names=["row", "h1", "h2", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([piece.column(0), *columns], names=["row", "h1", "h2", "n", "fp", "keys"])
 
     text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
-    return rows.select(F.col(id_column).alias("row"), text).mapInArrow(run, "row long, h1 long, h2 long, n long, keys array<long>")
+    return rows.select(F.col(id_column).alias("row"), text).mapInArrow(run, "row long, h1 long, h2 long, n long, fp long, keys array<long>")
+
+
+def index_pairs(classes: DataFrame, max_bits: int = MAX_DIFFERENT_BITS) -> DataFrame:
+    """Pairs (src, dst) of ``first`` rows of ``classes`` that fingerprints of at most ``max_bits`` differing bits propose.
+
+    Every class is paired with the first of its fingerprint, and those with the first of what the index links theirs to,
+    so a large group of near copies proposes as many pairs as it has members.
+    """
+    codes = written(classes.where("n > 0").groupBy("fp").agg(F.min("first").alias("least")))
+    links = written(near_links(codes.select("fp"), codes.count(), max_bits))
+    same = classes.where("n > 0").join(codes, "fp").select(F.col("least").alias("src"), F.col("first").alias("dst"))
+    ends = [codes.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_row")) for side in ("src", "dst")]
+    across = links.join(ends[0], "src").join(ends[1], "dst").select(F.least("src_row", "dst_row").alias("src"), F.greatest("src_row", "dst_row").alias("dst"))
+    return written(same.union(across).where("src < dst").distinct())
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY) -> DataFrame:
@@ -95,15 +113,14 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS, lea
     return both.select("src", "dst", "src_text", "dst_text").mapInArrow(run, "src long, dst long")
 
 
-def similar_links(buckets: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame:
+def similar_links(buckets: DataFrame, texts: DataFrame, links: DataFrame | None = None, words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame:
     """(node, component) of the rows of ``buckets`` (key, row, n) that pairs of at least ``least`` join.
 
-    Pairs already in one component are not compared. In a large bucket one leader a round is compared
+    Pairs already in one component, by ``links`` to begin with, are not compared. In a large bucket one leader a round is compared
     with all members outside its component, so a large group of copies costs about one comparison a
     member; what stays apart after ``rounds`` of them is compared pair by pair.
     """
-    links = None
-    star = None
+    star = None if links is None else written(components(links))
     step = 0
     while True:
         members = buckets.withColumn("component", F.col("row"))
@@ -141,14 +158,17 @@ def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", w
     without words are one class.
     """
     signed = written(signatures(rows, id_column, text_column, words))
-    classes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("first"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")))
+    classes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("first"), F.any_value("n").alias("n"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys")))
     bands = written(classes.select(F.col("first").alias("row"), "n", F.explode("keys").alias("key")))
     shared = written(bands.groupBy("key").count().where("count > 1").select("key"))
     buckets = written(bands.join(shared, "key").select("key", "row", "n"))
     drop_written(bands)
-    wanted = written(buckets.select("row").distinct())
+    proposed = index_pairs(classes)
+    wanted = buckets.select("row").union(proposed.select("src")).union(proposed.select("dst"))
+    wanted = written(wanted.distinct())
     texts = rows.select(F.col(id_column).alias("row"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    star = similar_links(buckets, written(texts.join(wanted, "row", "left_semi")), words, least, **limits)
+    texts = written(texts.join(wanted, "row", "left_semi"))
+    star = similar_links(buckets, texts, written(verified(proposed, texts, words, least)), words, least, **limits)
     named = classes.select("h1", "h2", "first")
     if star is not None:
         named = named.join(star.withColumnRenamed("node", "first"), "first", "left").select("h1", "h2", F.coalesce("component", "first").alias("first"))
@@ -157,7 +177,10 @@ def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", w
 
 
 def keep_dissimilar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY, **limits: int) -> DataFrame:
-    """``docs`` with one row of every group of similar texts: the one of the smallest id, null ids last."""
+    """``docs`` with one row of every group of similar texts: the one of the smallest id, null ids last.
+
+    Null texts count as empty; all texts without words are one group. Repeated rows are one group, no rows give none.
+    """
     row, group = unused(docs.columns, "row", "group")
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()))
     groups = similar_groups(rows, row, text_column, words, least, **limits).toDF(row, group)
