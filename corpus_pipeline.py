@@ -1,6 +1,8 @@
 """Five stages from raw documents to packed training sequences.
 
-Every stage works on all rows its predecessor kept, and all but the last return the columns they got.
+Every stage works on all rows its predecessor kept, and all but the last return the columns they got, whatever
+further columns there are. A null text counts as empty everywhere; repeated rows are judged alike; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,22 +19,25 @@ from rosterline.llm.quality import fit_documents, graded, keep_good
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents likely to be of the highest grade, by the model fitted on those of ``docs`` that have labels."""
+    """Documents likely to be of the highest grade, by the model fitted on those of ``docs`` that have labels; without any label, all."""
     return keep_good(docs, fit_documents(docs, graded(table(spark, sf_dir, "labels"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles chains of pairs at 0.8 or more join."""
+    """One document, of the smallest id, of each group whose five-word shingles chains of pairs at 0.8 or more join.
+
+    The Gray index over fingerprints of these shingles links what differs in few bits, the rest is met by bands of minima.
+    """
     return keep_dissimilar(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item."""
+    """Documents that hold no test item; without items, all."""
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data masked and their length brought up to date."""
+    """All documents with personal data masked and their length brought up to date; a null text stays null."""
     masked = mask_documents(docs)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -40,7 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their place in training sequences."""
+    """Pieces of documents with their place in training sequences; an empty document is its end id alone."""
     return pack_documents(docs)
 
 
@@ -52,7 +57,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: No stage but the fourth can be said in SQL; tests hold each against a plain version instead.
+#: Only the base patterns of the fourth stage can be said in SQL; tests hold each stage against a plain version instead.
 ORACLE_SQL = None
 
 
