@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rosterline.llm.decontam import op5_decontamination
 from rosterline.llm.embedding import OP3_SQL, op3_embedding_dedup
+from rosterline.llm.oracles import OP7_SQL, OP8_SQL, OP10_SQL
 from rosterline.llm.packing import op9_packing
 from rosterline.llm.pii import op7_pii
 from rosterline.llm.quality import op2_quality
@@ -28,4 +29,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_embedding_dedup": OP3_SQL,
+    "op7_pii": OP7_SQL,
+    "op8_sharding": OP8_SQL,
+    "op10_repeats": OP10_SQL,
 }
