@@ -87,10 +87,16 @@ def matches(text: Column, kind: str, pattern: str, needs: str) -> Column:
         begin = F.struct(acc["at"].alias("at"), none.alias("out"))
         return F.aggregate(x, begin, step, lambda got: F.struct(got["at"].alias("at"), F.concat(acc["out"], F.array(got["out"])).alias("out")))
 
-    # spans grow inside blocks and blocks are put together once, so many matches in a text are not copied with every further one
-    n = F.floor((F.size(both) - 1) / F.lit(BLOCK)).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), lambda i: F.slice(both, i * F.lit(BLOCK) + 1, F.lit(BLOCK)))
-    folded = F.aggregate(blocks, F.struct(F.lit(0).cast("long").alias("at"), no_blocks.alias("out")), block, lambda acc: F.flatten(acc["out"]))
+    def fold(pairs: Column) -> Column:
+        start = F.lit(0).cast("long").alias("at")
+        few = F.aggregate(pairs, F.struct(start, none.alias("out")), step, lambda acc: acc["out"])
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / F.lit(BLOCK)).cast("int")), lambda i: F.slice(pairs, i * F.lit(BLOCK) + 1, F.lit(BLOCK)))
+        many = F.aggregate(blocks, F.struct(start, no_blocks.alias("out")), block, lambda acc: F.flatten(acc["out"]))
+        return F.when(F.size(pairs) <= BLOCK, few).otherwise(many)
+
+    # spans grow inside blocks and blocks are put together once, so many matches in a text are not copied with every further
+    # one; the array around the pairs makes them one value that is worked out once
+    folded = F.element_at(F.transform(F.array(both), fold), 1)
     able = F.contains(text, F.lit(needs)) if needs == "@" else F.rlike(text, F.lit(needs))
     return F.when(able, folded).otherwise(none)
 
