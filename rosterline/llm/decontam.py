@@ -32,7 +32,7 @@ INDEX_WORDS = 2_000_000
 BLOCK = 16
 K1, B = 1.2, 0.75
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~…“”„‘’«»"
-_CACHE = 500_000
+_CACHE = 200_000
 
 
 def normal(word: str) -> str:

@@ -1,7 +1,7 @@
 """Near copies by the Jaccard similarity of word shingles: the Gray index over SimHash fingerprints first, then the rest.
 
 Fingerprints of five-word shingles that differ in few bits are found by the hierarchical index of ``simhash``
-and linked once their shingles are compared exactly. At a similarity of 0.8 fingerprints of 64 bits differ in
+and linked once all their shingles are compared, by 64-bit hashes. At a similarity of 0.8 fingerprints of 64 bits differ in
 about ten bits and often in more, while those of unrelated texts come that near too, so no bit limit reaches
 all such copies; the exact way for the rest is that texts which share a band of minima meet in a bucket, and
 those not linked yet are compared there.
@@ -43,14 +43,22 @@ def shingles(tokens: list[bytes], words: int = SHINGLE_WORDS) -> set[bytes]:
     return {b" ".join(tokens[i : i + words]) for i in range(max(len(tokens) - words, 0) + 1)} if tokens else set()
 
 
-def similarity(a: set[bytes], b: set[bytes]) -> float:
-    same = len(a & b)
-    return same / (len(a) + len(b) - same) if a or b else 1.0
+def hashes_of(found: set[bytes]) -> np.ndarray:
+    """Ordered 64-bit hashes of some shingles."""
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found)))
 
 
-def band_keys(found: set[bytes]) -> list[int]:
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of hashes."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    at = np.searchsorted(b, a)
+    same = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return same / (len(a) + len(b) - same)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
     """One signed key per band of minima over the shingles' hashes."""
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in found], np.uint64)
     least = np.full(len(_ADD), 0xFFFFFFFFFFFFFFFF, np.uint64)
     for k in range(0, len(hashes), 2048):
         least = np.minimum(least, ((hashes[k : k + 2048, None] ^ _ADD) * _MULTIPLY).min(axis=0))
@@ -66,10 +74,10 @@ def signatures(rows: DataFrame, id_column: str, text_column: str, words: int = S
             for text in piece.column(1).cast(pa.binary()):
                 data = text.as_py()
                 tokens = words_of(data)
-                found = shingles(tokens, words)
+                found = hashes_of(shingles(tokens, words))
                 whole = xxhash.xxh128_intdigest(b" ".join(tokens), SEED)
                 code = int(np.uint64(fingerprint(data, words)).view(np.int64))
-                out.append(((whole >> 64) - (1 << 63), (whole & (1 << 64) - 1) - (1 << 63), len(found), code, band_keys(found) if found else []))
+                out.append(((whole >> 64) - (1 << 63), (whole & (1 << 64) - 1) - (1 << 63), len(found), code, band_keys(found) if len(found) else []))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column(0), *columns], names=["row", "h1", "h2", "n", "fp", "keys"])
@@ -92,28 +100,33 @@ def index_pairs(classes: DataFrame, max_bits: int = MAX_DIFFERENT_BITS) -> DataF
     return written(same.union(across).where("src < dst").distinct())
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY) -> DataFrame:
-    """Those (src, dst) of ``pairs`` whose shingles are as similar as ``least``, by the (row, text) of ``texts``."""
+def shingle_sets(texts: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """(row, shingles): the ordered hashes of the shingles of every (row, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in text_pieces(batches, limit=1 << 21):
+            each = [hashes_of(shingles(words_of(t.as_py()), words)).view(np.int64) for t in piece.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(each, pa.list_(pa.int64()))], names=["row", "shingles"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, shingles array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
+    """Those (src, dst) of ``pairs`` whose shingles are as similar as ``least``, by the (row, shingles) of ``sets``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, held = None, set()
         for batch in batches:
-            src, dst = [], []
-            for a, b, x, y in zip(*(batch.column(i) for i in range(4)), strict=True):
-                if a != before:
-                    before, held = a, shingles(words_of(x.as_py().encode()), words)
-                if similarity(held, shingles(words_of(y.as_py().encode()), words)) >= least:
-                    src.append(a.as_py())
-                    dst.append(b.as_py())
-            if src:
-                yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
-
-    one, two = (texts.select(F.col("row").alias(side), F.col("text").alias(f"{side}_text")) for side in ("src", "dst"))
+            one, two = ([np.asarray(x.values).view(np.uint64) for x in batch.column(i)] for i in (2, 3))
+            near = np.array([similarity(a, b) >= least for a, b in zip(one, two, strict=True)], bool)
+            if near.any():
+                yield batch.select(["src", "dst"]).filter(pa.array(near))
+
+    one, two = (sets.select(F.col("row").alias(side), F.col("shingles").alias(f"{side}_set")) for side in ("src", "dst"))
     both = pairs.join(one, "src").join(two, "dst")
-    return both.select("src", "dst", "src_text", "dst_text").mapInArrow(run, "src long, dst long")
+    return both.select("src", "dst", "src_set", "dst_set").mapInArrow(run, "src long, dst long")
 
 
-def similar_links(buckets: DataFrame, texts: DataFrame, links: DataFrame | None = None, words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame:
+def similar_links(buckets: DataFrame, sets: DataFrame, links: DataFrame | None = None, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame:
     """(node, component) of the rows of ``buckets`` (key, row, n) that pairs of at least ``least`` join.
 
     Pairs already in one component, by ``links`` to begin with, are not compared. In a large bucket one leader a round is compared
@@ -143,7 +156,7 @@ def similar_links(buckets: DataFrame, texts: DataFrame, links: DataFrame | None
         met = left.join(right, keys).where("lrow < rrow AND lcomponent <> rcomponent AND (bi = bj OR lblk <> rblk)")
         pairs = led.union(met.select("lrow", "ln", "rrow", "rn")).where(F.least("an", "bn") >= F.lit(least - 1e-9) * F.greatest("an", "bn"))
         pairs = written(pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
-        fresh = verified(pairs, texts, words, least)
+        fresh = verified(pairs, sets, least)
         links = written(fresh if links is None else links.union(fresh))
         star = written(components(links))
         buckets = written(opened.where(large & (F.col("row") != F.col("leader.row"))).select("key", "row", "n"))
@@ -167,8 +180,8 @@ def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", w
     wanted = buckets.select("row").union(proposed.select("src")).union(proposed.select("dst"))
     wanted = written(wanted.distinct())
     texts = rows.select(F.col(id_column).alias("row"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    texts = written(texts.join(wanted, "row", "left_semi"))
-    star = similar_links(buckets, texts, written(verified(proposed, texts, words, least)), words, least, **limits)
+    sets = written(shingle_sets(texts.join(wanted, "row", "left_semi"), words))
+    star = similar_links(buckets, sets, written(verified(proposed, sets, least)), least, **limits)
     named = classes.select("h1", "h2", "first")
     if star is not None:
         named = named.join(star.withColumnRenamed("node", "first"), "first", "left").select("h1", "h2", F.coalesce("component", "first").alias("first"))

@@ -29,7 +29,7 @@ ROUNDS, RATE, PENALTY = 200, 0.1, 0.3
 #: Features of a smaller share of the fitted rows get no weight.
 LEAST_SHARE = 1 / 400
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~…“”„‘’«»"
-_CACHE = 500_000
+_CACHE = 200_000
 #: Weight of shares of shapes against the presence of single words.
 SHAPE_SCALE = 8.0
 
