@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import components, drop_written, split_hot, text_pieces, unused, written
+from rosterline.llm.common import components, drop_written, runs, split_hot, starts_of, text_pieces, unused, written
 from rosterline.llm.simhash import _LOWER, _WORDS, MAX_DIFFERENT_BITS, fingerprint, first_of_groups, near_links
 
 SHINGLE_WORDS = 5
@@ -25,10 +25,10 @@ MIN_SIMILARITY = 0.8
 #: A pair at 0.8 shares no band with a chance of (1 - 0.8 ** 5) ** 30, under 1 in 100,000.
 BANDS, BAND_ROWS = 30, 5
 SEED = 42
-#: Buckets up to this size are compared pair by pair; of larger ones a leader is compared with all others, so many rounds.
-SMALL, LEADER_ROUNDS = 8, 6
+#: Of buckets over this size a leader is compared with all others, so many rounds.
+SMALL, LEADER_ROUNDS = 8, 2
 #: Members of a bucket that meet in one task once the leaders are through.
-BUCKET_CAP = 5_000
+BUCKET_CAP = 256
 _RNG = np.random.default_rng(SEED)
 _ADD = _RNG.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64)
 _MULTIPLY = _RNG.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,16 +126,58 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = MIN_SIMILARITY) -
     return both.select("src", "dst", "src_set", "dst_set").mapInArrow(run, "src long, dst long")
 
 
-def similar_links(buckets: DataFrame, sets: DataFrame, links: DataFrame | None = None, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame:
-    """(node, component) of the rows of ``buckets`` (key, row, n) that pairs of at least ``least`` join.
+def compared_in_place(opened: DataFrame, sets: DataFrame, signs: DataFrame, least: float = MIN_SIMILARITY, cap: int = BUCKET_CAP) -> DataFrame:
+    """(src, dst) that join, in every bucket of ``opened`` (key, band, row, component), what is similar and not joined yet.
 
-    Pairs already in one component, by ``links`` to begin with, are not compared. In a large bucket one leader a round is compared
+    The shingles go to the buckets, and all pairs of a bucket are compared there: no pair leaves its task but for the few
+    that join something. A pair that an earlier band brought together, or whose sizes rule it out, is not compared.
+    Buckets of more than ``cap`` rows are dealt into pairs of blocks.
+    """
+    order = ["key", "bi", "bj"]
+    dealt = split_hot(opened.select("key", "band", "row", "component"), ["key"], F.col("row"), cap)
+    placed = dealt.join(signs, "row").join(sets, "row").repartition(*order).sortWithinPartitions(*order, "row")
+
+    def work(part: pa.Table, cross: bool) -> list[tuple[int, int]]:
+        rows, blk = part.column("row").to_numpy(), part.column("blk").to_numpy()
+        held = [np.asarray(x.values).view(np.uint64) for x in part.column("shingles").combine_chunks()]
+        size = np.array([len(x) for x in held])
+        band = part.column("band")[0].as_py()
+        keys = np.array([x.values.to_numpy()[:band] for x in part.column("keys").combine_chunks()]).reshape(len(rows), band)
+        _, group = np.unique(part.column("component").to_numpy(), return_inverse=True)
+        joined = []
+        for i in range(len(rows) - 1):
+            may = (group[i + 1 :] != group[i]) & (np.minimum(size[i + 1 :], size[i]) >= (least - 1e-9) * np.maximum(size[i + 1 :], size[i]))
+            if cross:
+                may &= blk[i + 1 :] != blk[i]
+            may = np.flatnonzero(may) + i + 1
+            if band and len(may):
+                may = may[~(keys[may] == keys[i]).any(axis=1)]
+            for j in may.tolist():
+                if group[i] != group[j] and similarity(held[i], held[j]) >= least:
+                    joined.append((int(rows[i]), int(rows[j])))
+                    group[group == group[j]] = group[i]
+        return joined
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in runs(batches, order, 4 * cap):
+            begins = starts_of(part, order)
+            cross = part.column("bi").to_numpy() != part.column("bj").to_numpy()
+            out = [pair for a, b in zip(begins.tolist(), [*begins[1:].tolist(), part.num_rows], strict=True) if b - a > 1 for pair in work(part.slice(a, b - a), bool(cross[a]))]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out]), pa.array([max(p) for p in out])], names=["src", "dst"])
+
+    return placed.select(*order, "row", "band", "component", "blk", "keys", "shingles").mapInArrow(run, "src long, dst long")
+
+
+def similar_links(buckets: DataFrame, sets: DataFrame, signs: DataFrame, links: DataFrame | None = None, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame | None:
+    """(node, component) of the rows of ``buckets`` (key, band, row, n) that pairs of at least ``least`` join.
+
+    ``sets`` (row, shingles) and ``signs`` (row, keys) describe the rows. Pairs already in one component, by ``links`` to begin with, are not compared. In a large bucket one leader a round is compared
     with all members outside its component, so a large group of copies costs about one comparison a
-    member; what stays apart after ``rounds`` of them is compared pair by pair.
+    member; what stays apart after ``rounds`` of them, and small buckets, are compared where they meet.
     """
     star = None if links is None else written(components(links))
-    step = 0
-    while True:
+    for step in range(rounds + 1):
         members = buckets.withColumn("component", F.col("row"))
         if star is not None:
             members = buckets.join(star.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
@@ -145,23 +187,18 @@ def similar_links(buckets: DataFrame, sets: DataFrame, links: DataFrame | None =
             F.min_by(F.struct("row", "component", "n"), F.xxhash64("row", F.lit(step))).alias("leader"),
         ).where("low < high").select("key", "size", "leader")
         size = written(size)
-        if size.isEmpty():
-            return star
         opened = members.join(size, "key")
-        large = F.col("size") > small if step < rounds else F.lit(False)
-        led = opened.where(large & (F.col("component") != F.col("leader.component"))).select(F.col("leader.row").alias("a"), F.col("leader.n").alias("an"), F.col("row").alias("b"), F.col("n").alias("bn"))
-        dealt = split_hot(opened.where(~large).select("key", "row", "n", "component"), ["key"], F.col("row"), cap)
-        keys = ["key", "bi", "bj"]
-        left, right = (dealt.select(*keys, *[F.col(c).alias(s + c) for c in ("row", "n", "component", "blk")]) for s in "lr")
-        met = left.join(right, keys).where("lrow < rrow AND lcomponent <> rcomponent AND (bi = bj OR lblk <> rblk)")
-        pairs = led.union(met.select("lrow", "ln", "rrow", "rn")).where(F.least("an", "bn") >= F.lit(least - 1e-9) * F.greatest("an", "bn"))
-        pairs = written(pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
-        fresh = verified(pairs, sets, least)
+        if step == rounds:
+            pairs = compared_in_place(opened, sets, signs, least, cap)
+        else:
+            led = opened.where((F.col("size") > small) & (F.col("component") != F.col("leader.component")))
+            led = led.select(F.col("leader.row").alias("a"), F.col("leader.n").alias("an"), F.col("row").alias("b"), F.col("n").alias("bn")).where(F.least("an", "bn") >= F.lit(least - 1e-9) * F.greatest("an", "bn"))
+            pairs = verified(written(led.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()), sets, least)
+        fresh = written(pairs)
         links = written(fresh if links is None else links.union(fresh))
         star = written(components(links))
-        buckets = written(opened.where(large & (F.col("row") != F.col("leader.row"))).select("key", "row", "n"))
         drop_written(members)
-        step += 1
+    return star
 
 
 def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", words: int = SHINGLE_WORDS, least: float = MIN_SIMILARITY, **limits: int) -> DataFrame:
@@ -172,16 +209,17 @@ def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", w
     """
     signed = written(signatures(rows, id_column, text_column, words))
     classes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("first"), F.any_value("n").alias("n"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys")))
-    bands = written(classes.select(F.col("first").alias("row"), "n", F.explode("keys").alias("key")))
+    bands = written(classes.select(F.col("first").alias("row"), "n", F.posexplode("keys").alias("band", "key")))
     shared = written(bands.groupBy("key").count().where("count > 1").select("key"))
-    buckets = written(bands.join(shared, "key").select("key", "row", "n"))
+    buckets = written(bands.join(shared, "key").select("key", "band", "row", "n"))
     drop_written(bands)
     proposed = index_pairs(classes)
     wanted = buckets.select("row").union(proposed.select("src")).union(proposed.select("dst"))
     wanted = written(wanted.distinct())
     texts = rows.select(F.col(id_column).alias("row"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     sets = written(shingle_sets(texts.join(wanted, "row", "left_semi"), words))
-    star = similar_links(buckets, sets, written(verified(proposed, sets, least)), least, **limits)
+    signs = classes.select(F.col("first").alias("row"), "keys")
+    star = similar_links(buckets, sets, signs, written(verified(proposed, sets, least)), least, **limits)
     named = classes.select("h1", "h2", "first")
     if star is not None:
         named = named.join(star.withColumnRenamed("node", "first"), "first", "left").select("h1", "h2", F.coalesce("component", "first").alias("first"))
