@@ -15,7 +15,7 @@ from rosterline.functions.normalize import compact_key, fold_key, fuzzy_key, lab
 
 def block_ratio(left: str, right: str) -> float:
     """Share of both texts in matching blocks, longest first; order of the arguments matters."""
-    return 2.0 * sum(b.size for b in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks()) / (len(left) + len(right)) * 100.0
+    return SequenceMatcher(None, left, right, autojunk=False).ratio() * 100.0
 
 
 def ratio(left: str, right: str) -> float:
@@ -41,14 +41,15 @@ def key_ratio(left: object, right: object) -> float:
     return ratio(fuzzy_key(left), fuzzy_key(right))
 
 
+def label_forms(label: str, kind: str = "student") -> tuple[str, str, str]:
+    """A strict key as it is, its loose form, and that with its words sorted."""
+    loose = loose_key(label) if kind == "student" else label_key(kind, label)
+    return label, loose, token_sorted(loose)
+
+
 def label_ratio(left: str, right: str, kind: str = "student") -> float:
-    """Best of strict, loose and word-sorted loose forms of strict keys."""
-    if not left or not right:
-        return 0.0
-    if left == right:
-        return 100.0
-    a, b = (loose_key(x) if kind == "student" else label_key(kind, x) for x in (left, right))
-    return max(ratio(left, right), ratio(a, b), ratio(token_sorted(a), token_sorted(b)))
+    """Best ratio over the forms of two strict keys."""
+    return max(map(ratio, label_forms(left, kind), label_forms(right, kind))) if left and right else 0.0
 
 
 def cluster_ratio(left: set[str], right: set[str], kind: str) -> float:
@@ -104,18 +105,14 @@ def scored_pairs(pairs: DataFrame, left: str, right: str, name: str = "score", k
     return rows.withColumn(name, F.when(empty, 0.0).when(a == b, 100.0).otherwise(F.col("__s"))).drop("__s")
 
 
-def ratio_bound(left: Column | str, right: Column | str) -> Column:
-    """What the ratio cannot exceed, from the lengths alone; drop pairs by it before scoring where no low score is reported."""
-    a, b = F.length(left), F.length(right)
-    return 200.0 * F.least(a, b) / (a + b)
+def _scored(rule: Callable[[str, str], float]):
+    def apply(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([rule(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return F.pandas_udf(apply, DoubleType())
 
 
 def register(spark: SparkSession) -> None:
     """The kernels as SQL functions similarity_<kind>."""
     for kind, rule in KERNELS.items():
-
-        def apply(a: pd.Series, b: pd.Series, rule=rule) -> pd.Series:
-            return pd.Series([rule(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
-
-        apply.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
-        spark.udf.register(f"similarity_{kind}", F.pandas_udf(apply, DoubleType()))
+        spark.udf.register(f"similarity_{kind}", _scored(rule))

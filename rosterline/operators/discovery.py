@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,14 +51,6 @@ def manifest(files: DataFrame, sha: str = "sha256", status: str = "status") -> D
     return files.rollup(status).agg(F.count("*").alias("instances"), F.count_distinct(sha).alias("unique_hashes"))
 
 
-_SECTION = re.compile(r"(?<![^\W_])(\d)\s*[-/.]\s*([A-ZÇĞİÖŞÜa-zçğıöşü])(?![^\W_])")
-
-
-def section_letters(text: str) -> list[str]:
-    """Sections named in a text, as capitals the Turkish way, without repeats."""
-    return sorted({m.group(2).translate(str.maketrans("ıi", "Iİ")).upper() for m in _SECTION.finditer(text)})
-
-
 def wanted_files(files: DataFrame, extensions: list[str], path: str = "path") -> DataFrame:
     """Files of the given kinds outside tool folders; lock and resource files go, and of paths that differ by case one stays."""
     name = F.element_at(F.split(path, "/"), -1)

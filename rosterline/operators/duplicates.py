@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rosterline.operators.relational import numbered
+
 
 def sheet_duplicates(rows: DataFrame, keys: list[str], exact: list[str], sheet: str = "sheet", row: str = "row") -> DataFrame:
     """Groups of rows of a sheet with equal normalised ``keys``: Exact if all ``exact`` cells agree too, else Normalized.
@@ -19,11 +21,12 @@ def sheet_duplicates(rows: DataFrame, keys: list[str], exact: list[str], sheet:
         F.count("*").alias("occurrences"), F.count_distinct(F.struct(*exact)).alias("forms"), F.min(row).alias("first_row"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.col(row))), lambda x: x.cast("string")), ", ").alias("rows"),
     ).where("occurrences > 1")
-    number = F.row_number().over(Window.partitionBy(sheet).orderBy("first_row"))
+    block = F.floor(F.col("first_row") / F.lit(100_000))
+    groups = numbered(groups.withColumn("__block", block), ["__block"], ["first_row"], "__n", within=[sheet])
     return groups.withColumns({
         "duplicate_type": F.when(F.col("forms") == 1, "Exact").otherwise("Normalized"),
-        "duplicate_group": F.format_string("S%s-D%04d", F.col(sheet).cast("string"), number),
-    }).drop("forms")
+        "duplicate_group": F.format_string("S%s-D%04d", F.col(sheet).cast("string"), "__n"),
+    }).drop("forms", "__block", "__n")
 
 
 def repeated_names(rows: DataFrame, keys: list[str], name: str, raw: str, row: str) -> DataFrame:
@@ -65,7 +68,6 @@ def availability_duplicates(roster: DataFrame, reports: DataFrame, keys: list[st
     other = reports.groupBy("sheet", *keys).agg(F.count("*").alias("n"), F.min("row_number").alias("first_row")).where("n > 1")
     other = other.select("sheet", *keys, "n", "first_row", F.lit("Multiple rows in report sheet").alias("duplicate_type"), F.lit(1).alias("part"))
     both = own.unionByName(other)
-    # one row per duplicate group, so the counter sorts groups only
-    number = F.row_number().over(Window.orderBy("part", "sheet", "first_row", *keys))
-    prefix = F.when(F.col("part") == 0, "ERC-").otherwise("REPORT-")
-    return both.withColumn("group_id", F.concat(prefix, F.lpad(number.cast("string"), 4, "0"))).drop("part")
+    both = numbered(both.withColumn("__block", F.floor(F.col("first_row") / F.lit(100_000))), ["part", "sheet", "__block"], ["first_row", *keys], "number")
+    name = F.when(F.col("part") == 0, F.format_string("ERC-%04d", "number")).otherwise(F.format_string("REPORT-%04d", "number"))
+    return both.withColumn("group_id", name).drop("part", "number", "__block")

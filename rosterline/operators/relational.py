@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -161,6 +164,21 @@ def duplicate_groups(df: DataFrame, keys: list[str], prefix: str, row: str) -> D
     """Rows whose keys, none of them null, occur at least twice: group id by sorted key, count, row."""
     usable = df.where(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull())
     sizes = usable.groupBy(*keys).agg(F.count("*").alias("group_count")).where("group_count > 1")
-    # numbered over groups, not rows: one row per group is all that one task sorts
-    ids = sizes.withColumn("group_id", F.format_string(f"{prefix}-%04d", F.row_number().over(Window.orderBy(*keys))))
+    ids = numbered(sizes, keys[:-1], keys, "__n").withColumn("group_id", F.format_string(f"{prefix}-%04d", "__n")).drop("__n")
     return usable.join(ids, keys).select("group_id", "group_count", row, *keys)
+
+
+def numbered(df: DataFrame, lead: list[str], order: list[str], name: str, within: list[str] | None = None) -> DataFrame:
+    """``df`` with its place, from 1, in the order of ``lead``, then ``order``, over all rows or per value of ``within``.
+
+    Rows are counted inside each value of ``lead`` and set off by the sizes of the values before it, so that only one
+    row per value of ``lead`` is ever put in order in one task.
+    """
+    within = within or []
+    keys = [*within, *lead]
+    before = Window.partitionBy(*within).orderBy(*lead).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__size")).withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0)))
+    sizes = sizes.select("__before", *[F.col(c).alias(f"__lead_{c}") for c in keys])
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    got = df.withColumn(name, inside).join(sizes, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__lead_{c}")) for c in keys]))
+    return got.withColumn(name, F.col(name) + F.col("__before")).drop("__before", *[f"__lead_{c}" for c in keys])

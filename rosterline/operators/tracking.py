@@ -2,66 +2,164 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import heapq
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from itertools import combinations
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rosterline.functions.normalize import label_key, loose_key, normalised
 from rosterline.functions.similarity import label_ratio
-from rosterline.functions.normalize import label_key, loose_key
+from rosterline.operators.nearest import Side, best_rows, possible_pairs, similar_pairs
+from rosterline.operators.relational import numbered
 
 LABELS = {1: "1st Semester 3rd Grade", 2: "2nd Semester 3rd Grade", 3: "4th Grade"}
 EXPECTED_GRADES = {1: 3, 2: 3, 3: 4}
 
 
-def period_issue(district: str, school: str, grade_ok: F.Column, section: str, student: str) -> F.Column:
-    """First fault of a period row; only a blank student keeps the row (as a section without that student)."""
-    empty = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    return (
-        F.when(empty(district) | empty(school), "Incomplete location data").when(~grade_ok, "Unexpected grade")
-        .when(empty(section), "Invalid section").when(empty(student), "Blank student name")
+#: What a row of a period sheet can lack, in the order it is looked for, with the reason that is given; only the last one keeps its row.
+FAULTS = {
+    "Incomplete location data": "District, school, and section are required for strict district-school-section matching.",
+    "Unexpected grade": "The row was excluded because its grade did not match the period.",
+    "Invalid section": "The section must contain exactly one letter.",
+    "Blank student name": "The section is treated as present, but this row is not counted as a student.",
+}
+
+
+def period_faults(rows: DataFrame, expected: dict[int, int] | None = None) -> DataFrame:
+    """``rows`` (period, district, school, grade, section, student as text) with ``section_key``, ``issue_type`` and ``kept``; wholly blank rows go.
+
+    A row has its first fault at most. A blank student name keeps the row: the section is there, the student is not.
+    """
+    empty = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    expected = expected or EXPECTED_GRADES
+    wanted = F.create_map(*[F.lit(x) for pair in expected.items() for x in pair])[F.col("period")]
+    number = F.regexp_replace(F.trim("grade"), ",", ".").try_cast("double")
+    same = F.coalesce(number == wanted, F.lit(False))
+    letter = F.upper(F.translate(F.trim(F.coalesce("section", F.lit(""))), "ıi", "Iİ"))
+    key = F.when(letter.rlike("^[A-ZÇĞİÖŞÜ]$"), letter).otherwise("")
+    place = empty("district") | empty("school") | empty("section")
+    checks = dict(zip(FAULTS, (place, ~same, key == "", empty("student")), strict=True))
+    issue = F.lit("")
+    for name in reversed(FAULTS):
+        issue = F.when(checks[name], name).otherwise(issue)
+    rows = rows.where(~reduce(and_, map(empty, ("district", "school", "grade", "section", "student"))))
+    return rows.withColumns({"section_key": key, "issue_type": issue}).withColumn("kept", F.col("issue_type").isin("", "Blank student name"))
+
+
+def data_issues(faulty: DataFrame) -> DataFrame:
+    """Review rows of the faults that ``period_faults`` found."""
+    labels = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])
+    why = F.create_map(*[F.lit(x) for pair in FAULTS.items() for x in pair])
+    kind = F.col("issue_type")
+    place = F.concat(F.lit("District="), F.col("district"), F.lit("; School="), F.col("school"), F.lit("; Section="), F.col("section"))
+    original = F.when(kind == "Incomplete location data", place).when(kind == "Unexpected grade", F.col("grade")).when(kind == "Invalid section", F.col("section")).otherwise("")
+    grade = F.create_map(*[F.lit(x) for pair in EXPECTED_GRADES.items() for x in pair])[F.col("period")].cast("string")
+    return faulty.where(kind != "").select(
+        F.lit("Data issue").alias("status"), kind.alias("issue_type"), "district", "school", F.when(kind == "Blank student name", F.col("section_key")).otherwise(F.col("section")).alias("section"),
+        labels[F.col("period")].alias("period"), F.col("row_number").cast("string").alias("source_row"), original.alias("original_value"),
+        F.when(kind == "Unexpected grade", grade).otherwise("").alias("candidate_value"), F.lit(None).cast("double").alias("similarity_score"),
+        F.lit(None).cast("double").alias("second_best_score"), why[kind].alias("reason"),
     )
 
 
-def cluster_labels(first_seen: dict[str, tuple[int, int]], kind: str, threshold: float, margin: float, score: Callable[[str, str], float] | None = None) -> list[list[str]]:
+class Mutual:
+    """Mutually best pairs of a sparse graph, taken one by one with all else ranked anew, without ranking all else anew.
+
+    Only nodes beside a pair that was taken change, so only these are looked at again; what may be taken waits in a heap
+    and is checked once more when it comes up. A node ranks its neighbours by score, then by the least name. Links that
+    are not there count as 0 and must be too low to matter: under the threshold by more than the margin.
+    """
+
+    def __init__(self, links: dict, threshold: float, margin: float, urgency: Callable):
+        self.links, self.threshold, self.margin, self.urgency = links, threshold, margin, urgency
+        self.heap: list[tuple] = []
+        for node in links:
+            self.offer(node)
+
+    def top(self, node: object) -> tuple[float, object, float]:
+        """Best score, the neighbour that has it, and the next best score."""
+        two = heapq.nsmallest(2, ((-s, other) for other, s in self.links[node].items()))
+        return (-two[0][0], two[0][1], -two[1][0] if len(two) > 1 else 0.0) if two else (0.0, None, 0.0)
+
+    def fits(self, node: object) -> tuple | None:
+        """(score, node, its best) if the two are mutually best, good enough and clear of all others."""
+        score, other, second = self.top(node)
+        if other is None or score < self.threshold or score - second < self.margin:
+            return None
+        back, home, next_back = self.top(other)
+        return (score, node, other) if home == node and back - next_back >= self.margin else None
+
+    def offer(self, node: object) -> None:
+        found = self.fits(node)
+        if found:
+            score, *pair = found
+            a, b = sorted(pair)
+            heapq.heappush(self.heap, (-score, self.urgency(a, b), a, b))
+
+    def take(self) -> tuple[float, object, object] | None:
+        """The next pair, which leaves the graph; None when no pair is left."""
+        while self.heap:
+            _, _, a, b = heapq.heappop(self.heap)
+            if a in self.links and b in self.links and (found := self.fits(a)) and found[2] == b:
+                near = (set(self.links[a]) | set(self.links[b])) - {a, b}
+                self.gone = {x: self.links.pop(x) for x in (a, b)}
+                for x in near:
+                    self.links[x].pop(a, None)
+                    self.links[x].pop(b, None)
+                self.near = near
+                return found[0], a, b
+        return None
+
+    def settle(self, nodes: set) -> None:
+        for x in nodes:
+            self.offer(x)
+
+
+def cluster_labels(first_seen: dict[str, tuple[int, int]], kind: str, threshold: float, margin: float, pairs: Iterable[tuple[str, str]] | None = None, score: Callable[[str, str], float] | None = None) -> list[list[str]]:
     """Clusters of labels: equal loose forms, then the best mutual pair merged again and again.
 
-    A pair needs ``threshold``, and ``margin`` over each side's next best (0 if there is none); similarity
-    is the least over the pairs across. Of several the highest, then the earliest pair merges, and the
-    merged cluster goes last. Pair scores are worked out once and updated, not searched again.
+    A pair needs ``threshold``, and ``margin`` over each side's next best (0 if there is none); similarity is the least
+    over the pairs across, compared in the order of the clusters. Of several the highest, then the earliest pair merges,
+    and the merged cluster goes last. ``pairs`` are those of labels that can score at all near the threshold; all where none are given.
     """
     score = score or (lambda a, b: label_ratio(a, b, kind))
     forms: dict[str, list[str]] = {}
     for label in first_seen:
         forms.setdefault(label_key(kind, label), []).append(label)
-    groups = {i: sorted(v) for i, v in enumerate(forms.values())}
-    keys = list(groups)
-    link = {(a, b): min(score(x, y) for x in groups[a] for y in groups[b]) for i, a in enumerate(keys) for b in keys[i + 1 :]}
-    of = lambda a, b: link[(a, b) if (a, b) in link else (b, a)]
-    fresh = len(keys)
-    while len(keys) > 1:
-        best = {}
-        for i, a in enumerate(keys):
-            ranked = sorted(((-of(a, b), j) for j, b in enumerate(keys) if j != i))
-            best[i] = (-ranked[0][0], ranked[0][1], -ranked[1][0] if len(ranked) > 1 else 0.0)
-        proposals = []
-        for i, (s, j, second) in best.items():
-            t, back, other = best[j]
-            if i < j and back == i and s >= threshold and t >= threshold and s - second >= margin and t - other >= margin:
-                proposals.append((s, -i, -j))
-        if not proposals:
-            break
-        _, i, j = max(proposals)
-        a, b = keys[-i], keys[-j]
-        keys = [k for k in keys if k not in (a, b)]
-        for k in keys:
-            link[k, fresh] = min(of(a, k), of(b, k))
-        groups[fresh] = groups[a] + groups[b]
-        keys.append(fresh)
+    groups = dict(enumerate(sorted(v) for v in forms.values()))
+    of = {label: k for k, group in groups.items() for label in group}
+    near: dict[int, set[int]] = {k: set() for k in groups}
+    for a, b in combinations(first_seen, 2) if pairs is None else pairs:
+        if of[a] != of[b]:
+            near[of[a]].add(of[b])
+            near[of[b]].add(of[a])
+
+    def least(i: int, j: int) -> float:
+        return min(score(x, y) for x in groups[min(i, j)] for y in groups[max(i, j)])
+
+    links: dict[int, dict[int, float]] = {k: {} for k in groups}
+    for i, others in near.items():
+        for j in others:
+            if i < j:
+                links[i][j] = links[j][i] = least(i, j)
+    graph = Mutual(links, threshold, margin, urgency=lambda a, b: (a, b))
+    fresh = len(groups)
+    while pair := graph.take():
+        _, a, b = pair
+        groups[fresh] = groups.pop(a) + groups.pop(b)
+        both = set(graph.gone[a]) & set(graph.gone[b])
+        links[fresh] = {}
+        for k in both:
+            links[fresh][k] = links[k][fresh] = least(k, fresh)
+        graph.settle(graph.near | {fresh})
         fresh += 1
-    return sorted((groups[k] for k in keys), key=lambda g: min(first_seen[x] for x in g))
+    return sorted(groups.values(), key=lambda g: min(first_seen[x] for x in g))
 
 
 CLUSTERS = "label string, cluster_id long, canonical string"
@@ -70,34 +168,52 @@ CLUSTERS = "label string, cluster_id long, canonical string"
 def label_clusters(rows: DataFrame, label: str, kind: str, period: str = "period", row: str = "row_number", within: list[str] | None = None, threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
     """Cluster and canonical label (the earliest seen) of each distinct label, per value of ``within`` if given.
 
-    Labels are grouped before Python sees them, so a task holds the distinct labels of one group only.
+    Pairs of labels that can come near the threshold are found in blocks of bounded size; the task that merges the
+    labels of one group holds these pairs and the labels, not all pairs.
     """
     within = within or []
     seen = rows.where(F.coalesce(F.col(label), F.lit("")) != "").groupBy(*within, label).agg(F.min(F.struct(period, row)).alias("seen"))
     seen = seen.select(*within, F.col(label).alias("label"), F.col(f"seen.{period}").cast("long").alias("p"), F.col(f"seen.{row}").cast("long").alias("r"))
+    pairs = possible_pairs(seen, within, "label", threshold - 10.0 - margin, "district" if kind == "district" else "label")
 
-    def work(part: pd.DataFrame) -> pd.DataFrame:
+    def work(part: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
         first = {x: (int(p), int(r)) for x, p, r in sorted(zip(part["label"], part["p"], part["r"], strict=True), key=lambda t: t[1:])}
         out = []
-        for number, group in enumerate(cluster_labels(first, kind, threshold, margin), 1):
+        for number, group in enumerate(cluster_labels(first, kind, threshold, margin, list(zip(near["a"], near["b"], strict=True))), 1):
             canonical = min(group, key=lambda x: first[x])
             out += [(x, number, canonical) for x in group]
         got = pd.DataFrame(out, columns=["label", "cluster_id", "canonical"])
         for k, name in enumerate(within):
-            got.insert(k, name, part[name].iloc[0])
+            got.insert(k, name, part[name].iloc[0] if len(part) else None)
         return got
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in seen.select(*within).schema] if within else []
-    return seen.groupBy(*(within or [F.lit(1).alias("one")])).applyInPandas(work, ", ".join([*fields, CLUSTERS]))
+    one, two = (df.groupBy(*(within or [F.lit(1).alias("one")])) for df in (seen, pairs))
+    return one.cogroup(two).applyInPandas(work, ", ".join([*fields, CLUSTERS]))
 
 
-def match_one_to_one(left: Sequence[tuple], right: Sequence[tuple], threshold: float = 90.0, margin: float = 5.0) -> tuple[list[tuple], list[tuple]]:
-    """(matches, doubts) between two lists of (row, strict name).
+def institutions(rows: DataFrame, district: tuple[float, float] = (90.0, 5.0), school: tuple[float, float] = (88.0, 5.0)) -> DataFrame:
+    """(district, school, district_id, school_id, district_name, school_name) of every distinct pair of strict keys.
 
-    Equal names pair in row order. Of the rest, the one best pair that is mutual and clear of the next
-    best on both sides is taken, then all is ranked anew; ties go to the larger rows. Scores are worked
-    out once per pair of names. matches: (left row, right row, score, method); doubts: the remaining
-    best pairs near the limit.
+    Districts are clustered first, schools inside each district. Numbers of districts follow the first row of each; those
+    of schools run on across the districts, which are gone through by the loose form of their name.
+    """
+    d = label_clusters(rows, "district", "district", threshold=district[0], margin=district[1])
+    d = d.select(F.col("label").alias("district"), F.format_string("D%05d", "cluster_id").alias("district_id"), F.col("canonical").alias("district_name"))
+    placed = rows.join(d, "district")
+    s = label_clusters(placed, "school", "school", within=["district_id", "district_name"], threshold=school[0], margin=school[1])
+    s = s.withColumn("loose", normalised("district_name", "loose"))
+    first = numbered(s.select("loose", "district_id", "cluster_id").distinct(), ["loose", "district_id"], ["cluster_id"], "number")
+    s = s.join(first.select("district_id", "cluster_id", "number"), ["district_id", "cluster_id"])
+    s = s.select("district_id", F.col("label").alias("school"), F.format_string("S%05d", "number").alias("school_id"), F.col("canonical").alias("school_name"))
+    return placed.select("district", "school", "district_id", "district_name").distinct().join(s, ["district_id", "school"])
+
+
+def match_one_to_one(left: Sequence[tuple], right: Sequence[tuple], threshold: float = 90.0, margin: float = 5.0) -> list[tuple]:
+    """(left row, right row, score, method) of two lists of (row, strict name).
+
+    Equal names pair in row order. Of the rest, the one best pair that is mutual and clear of the next best on both sides
+    is taken, then all is ranked anew; ties go to the larger rows.
     """
     matches, by_name = [], {}
     for row, name in sorted(right):
@@ -108,74 +224,109 @@ def match_one_to_one(left: Sequence[tuple], right: Sequence[tuple], threshold: f
             matches.append((row, by_name[name].pop(0), 100.0, "Exact"))
         else:
             rest.append((row, name))
-    a, b = dict(rest), {row: name for name, rows in by_name.items() for row in rows}
-    scores = {(x, y): label_ratio(n, m) for x, n in a.items() for y, m in b.items()}
-
-    def ranked() -> tuple[dict, dict]:
-        rows = {x: sorted((-scores[x, y], y) for y in b) for x in a}
-        columns = {y: sorted((-scores[x, y], x) for x in a) for y in b}
-        short = lambda v: (-v[0][0], v[0][1], -v[1][0] if len(v) > 1 else 0.0)
-        return {x: short(v) for x, v in rows.items()}, {y: short(v) for y, v in columns.items()}
-
-    while a and b:
-        rows, columns = ranked()
-        proposals = []
-        for x, (s, y, second) in rows.items():
-            t, back, other = columns[y]
-            if back == x and s >= threshold and t >= threshold and s - second >= margin and t - other >= margin:
-                proposals.append((s, x, y))
-        if not proposals:
-            break
-        s, x, y = max(proposals)
-        matches.append((x, y, s, "Normalized" if loose_key(a[x]) == loose_key(b[y]) else "Fuzzy"))
-        del a[x], b[y]
-    doubts = []
-    if a and b:
-        rows, columns = ranked()
-        for x, (s, y, second) in rows.items():
-            if s >= max(0.0, threshold - 10.0):
-                other = max(second, columns[y][2] if columns[y][1] == x else columns[y][0])
-                why = "below" if s < threshold else "competing" if s - other < margin else "not mutual"
-                doubts.append((x, y, s, why))
-    return matches, doubts
+    others = [(row, name) for name, rows in by_name.items() for row in rows]
+    side = Side([name for _, name in others], "label")
+    scored = [(x, n, *others[k], s) for x, n in rest for k, s in side.against(n).reaching(threshold - margin)]
+    return matches + greedy_matches(scored, threshold, margin)
+
+
+def greedy_matches(scored: Iterable[tuple], threshold: float, margin: float) -> list[tuple]:
+    """Matches among (left row, left name, right row, right name, score) of all pairs within ``margin`` of the threshold."""
+    links: dict[tuple, dict[tuple, float]] = {}
+    names = {}
+    for x, n, y, m, s in scored:
+        links.setdefault((0, x), {})[1, y] = s
+        links.setdefault((1, y), {})[0, x] = s
+        names[0, x], names[1, y] = n, m
+    graph = Mutual(links, threshold, margin, urgency=lambda a, b: (-a[1], -b[1]))
+    out = []
+    while pair := graph.take():
+        score, a, b = pair
+        out.append((a[1], b[1], score, "Normalized" if loose_key(names[a]) == loose_key(names[b]) else "Fuzzy"))
+        graph.settle(graph.near)
+    return out
 
 
 MATCHES = "left_row long, right_row long, score double, method string"
 
 
 def match_periods(left: DataFrame, right: DataFrame, keys: list[str], threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
-    """One-to-one matches (or, with method Doubt, pairs for review) of two periods inside each group of ``keys``.
+    """One-to-one matches of two periods inside each group of ``keys``.
 
-    Exact names are matched by a join; only groups with something left on both sides reach Python.
+    Exact names are matched by a join. Of the rest, pairs within ``margin`` of the threshold are found in blocks of
+    bounded size, and a task that matches one group holds only these.
     """
-    def numbered(df: DataFrame, side: str) -> DataFrame:
+    def numbered_rows(df: DataFrame, side: str) -> DataFrame:
         place = Window.partitionBy(*keys, "student").orderBy("row_number")
         return df.select(*keys, "student", F.col("row_number").alias(f"{side}_row"), F.row_number().over(place).alias("k"))
 
-    one, two = numbered(left, "left"), numbered(right, "right")
+    one, two = numbered_rows(left, "left"), numbered_rows(right, "right")
     exact = one.join(two, [*keys, "student", "k"])
-    rest_one = one.join(exact.select("left_row"), "left_row", "left_anti")
-    rest_two = two.join(exact.select("right_row"), "right_row", "left_anti")
-    other = [f"right_{k}" for k in keys]
-    rest_one = rest_one.select(*keys, "student", "left_row")
-    rest_two = rest_two.select(*[F.col(k).alias(o) for k, o in zip(keys, other, strict=True)], F.col("student").alias("right_student"), "right_row")
+    rest_one = one.join(exact.select("left_row"), "left_row", "left_anti").select(*keys, F.col("student").alias("left_student"), "left_row")
+    rest_two = two.join(exact.select("right_row"), "right_row", "left_anti").select(*keys, F.col("student").alias("right_student"), "right_row")
+    pairs = similar_pairs(rest_one, rest_two, keys, "left_row", "left_student", "right_row", "right_student", threshold - margin, "label")
+    pairs = pairs.join(rest_one, [*keys, "left_row"]).join(rest_two, [*keys, "right_row"])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.select(*keys).schema)
-    n = len(keys)
-
-    def work(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=[*keys, "left_row", "right_row", "score", "method"])
-        got, doubts = match_one_to_one(list(zip(a["left_row"], a["student"], strict=True)), list(zip(b["right_row"], b["right_student"], strict=True)), threshold, margin)
-        out = pd.DataFrame([*got, *((x, y, s, "Doubt") for x, y, s, _ in doubts)], columns=["left_row", "right_row", "score", "method"])
-        for k in range(n):
-            out.insert(k, keys[k], a[keys[k]].iloc[0])
+
+    def work(part: pd.DataFrame) -> pd.DataFrame:
+        columns = [part[c] for c in ("left_row", "left_student", "right_row", "right_student", "score")]
+        out = pd.DataFrame(greedy_matches(zip(*columns, strict=True), threshold, margin), columns=["left_row", "right_row", "score", "method"])
+        for k, name in enumerate(keys):
+            out.insert(k, name, part[name].iloc[0])
         return out
 
-    fuzzy = rest_one.groupBy(*keys).cogroup(rest_two.groupBy(*other)).applyInPandas(work, f"{fields}, {MATCHES}")
+    fuzzy = pairs.groupBy(*keys).applyInPandas(work, f"{fields}, {MATCHES}")
     sure = exact.select(*keys, "left_row", "right_row", F.lit(100.0).alias("score"), F.lit("Exact").alias("method"))
     return sure.unionByName(fuzzy)
 
 
+def unmatched(left: DataFrame, right: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, side, row, student, other, score, second, other_second) of what ``matches`` leaves on both sides of two periods.
+
+    ``other`` is the best row left on the other side, the first of equals, null where none is left; ``second`` is the
+    next best score of the row itself, ``other_second`` that of its candidate.
+    """
+    rest = {
+        side: df.join(matches.select(F.col(f"{side}_row").alias("row_number")), "row_number", "left_anti").select(*keys, F.col("row_number").alias("row"), F.col("student").alias("text"))
+        for side, df in (("left", left), ("right", right))
+    }
+    best = {
+        "left": best_rows(rest["left"], rest["right"], keys, "label"),
+        "right": best_rows(rest["right"], rest["left"], keys, "label", turned=True),
+    }
+    got = None
+    for side, across in (("left", "right"), ("right", "left")):
+        theirs = best[across].select(*keys, F.col("row").alias("other"), F.col("second").alias("other_second"))
+        rows = rest[side].withColumnRenamed("text", "student").join(best[side], [*keys, "row"], "left").join(theirs, [*keys, "other"], "left")
+        rows = rows.select(*keys, F.lit(side).alias("side"), "row", "student", "other", "score", "second", "other_second")
+        got = rows if got is None else got.unionByName(rows)
+    return got
+
+
+def student_issues(matches: DataFrame, rest: DataFrame, left: DataFrame, right: DataFrame, keys: list[str], periods: tuple[int, int], threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
+    """Review rows of two periods: matches that are not exact, accepted; and of what is left, best candidates no more than 10 under the threshold."""
+    names = [df.select(*keys, F.col("row_number").alias(f"{side}_row"), F.col("student").alias(value)) for df, side, value in ((left, "left", "original_value"), (right, "right", "candidate_value"))]
+    sure = matches.where("method <> 'Exact'").select(
+        *keys, "left_row", "right_row", F.lit("Auto-accepted").alias("status"), F.concat("method", F.lit(" student match")).alias("issue_type"), "score", F.lit(None).cast("double").alias("second"),
+        F.lit(f"Mutually best one-to-one candidates above threshold {threshold:.1f} with margin at least {margin:.1f}.").alias("reason"),
+    )
+    second = F.greatest("second", "other_second")
+    why = (
+        F.when(F.col("score") < threshold, f"Best score is below automatic threshold {threshold:.1f}.")
+        .when(F.col("score") - second < margin, f"Competing candidates are within margin {margin:.1f}.").otherwise("The candidate relationship is not mutually best.")
+    )
+    open_rows = rest.where((F.col("side") == "left") & (F.col("score") >= max(0.0, threshold - 10.0))).select(
+        *keys, F.col("row").alias("left_row"), F.col("other").alias("right_row"), F.lit("Needs review").alias("status"), F.lit("Ambiguous student match").alias("issue_type"), "score",
+        second.alias("second"), F.concat(why, F.lit(" The rows were kept unmatched.")).alias("reason"),
+    )
+    both = sure.unionByName(open_rows).join(names[0], [*keys, "left_row"]).join(names[1], [*keys, "right_row"])
+    rows = F.concat_ws(" / ", F.col("left_row").cast("string"), F.col("right_row").cast("string"))
+    return both.select(
+        "status", "issue_type", *keys, F.lit(f"{LABELS[periods[0]]} vs {LABELS[periods[1]]}").alias("period"), rows.alias("source_row"), "original_value", "candidate_value",
+        F.round("score", 2).alias("similarity_score"), F.round("second", 2).alias("second_best_score"), "reason",
+    )
+
+
 def section_reconciliation(periods: DataFrame, keys: list[str]) -> DataFrame:
     """Counts per section that the first period has: students per period, exact matches, missing and extra ones.
 
@@ -220,6 +371,47 @@ def _sections(periods: DataFrame, keys: list[str]) -> DataFrame:
     return periods.groupBy(*keys).agg(*[F.max((F.col("period") == p).cast("int")).alias(f"has_{p}") for p in (1, 2, 3)])
 
 
+def comparison_plan(periods: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, mode, left_period, right_period): which periods are compared per section, 1 with 2 and 3, or 2 with 3 where 1 lacks it."""
+    step = lambda a, b: F.struct(F.lit(a).alias("left_period"), F.lit(b).alias("right_period"))
+    based = F.col("has_1") == 1
+    plan = F.when(based, F.array(step(1, 2), step(1, 3))).otherwise(F.array(step(2, 3)))
+    mode = F.when(based, "Sheet 1 baseline").otherwise("Sheets 2-3 comparison (no Sheet 1 baseline)")
+    return _sections(periods, keys).select(*keys, mode.alias("mode"), F.explode(plan).alias("x")).select(*keys, "mode", "x.*")
+
+
+def residuals_by_pair(periods: DataFrame, matches: DataFrame, keys: list[str]) -> dict[tuple[int, int], DataFrame]:
+    """``unmatched`` of every pair of periods of the comparison plan."""
+    rows = _students(periods)
+    plan = comparison_plan(periods, keys)
+    out = {}
+    for one, two in ((1, 2), (1, 3), (2, 3)):
+        here = plan.where((F.col("left_period") == one) & (F.col("right_period") == two)).select(*keys)
+        left, right = (rows.where(F.col("period") == p).join(here, keys, "left_semi") for p in (one, two))
+        found = matches.where((F.col("left_period") == one) & (F.col("right_period") == two))
+        out[one, two] = unmatched(left, right, found, keys)
+    return out
+
+
+def residuals(periods: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
+    """What is left on both sides of all compared pairs of periods, with the best candidates."""
+    got = None
+    for (one, two), df in residuals_by_pair(periods, matches, keys).items():
+        more = df.select(*keys, F.lit(one).alias("left_period"), F.lit(two).alias("right_period"), "side", "row", "student", "other", "score", "second")
+        got = more if got is None else got.unionByName(more)
+    return got
+
+
+def match_review(periods: DataFrame, matches: DataFrame, keys: list[str], rest: dict[tuple[int, int], DataFrame] | None = None, threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
+    """Review rows of all compared pairs of periods: accepted matches that are not exact, and candidates left to a person."""
+    rows, got = _students(periods), None
+    for (one, two), df in (rest or residuals_by_pair(periods, matches, keys)).items():
+        found = matches.where((F.col("left_period") == one) & (F.col("right_period") == two))
+        more = student_issues(found, df, rows.where(F.col("period") == one), rows.where(F.col("period") == two), keys, (one, two), threshold, margin)
+        got = more if got is None else got.unionByName(more)
+    return got
+
+
 def section_matches(periods: DataFrame, keys: list[str], threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
     """One-to-one matches of periods 1 and 2 and 1 and 3, or 2 and 3 in sections that period 1 lacks."""
     rows = _students(periods)

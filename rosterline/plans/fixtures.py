@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 ROSTER = """
@@ -46,22 +48,69 @@ periods AS (
   UNION ALL
   SELECT 3 AS period, row_number, district, school, section, student FROM roster WHERE row_number < 1000000 AND row_number % 7 <> 0)"""
 
-#: Ratio of the distinct texts a, b of ``pairs``, on a scale of 100, for the SQL side only.
-RATIO = """
-seg(a, b, alo, ahi, blo, bhi, k) AS (
-  SELECT a, b, 1, length(a) + 1, 1, length(b) + 1, 0 FROM pairs
+def ratio_sql(name: str = "") -> str:
+    """Common tables that give ``<name>scores`` (a, b, score): the ratio of the distinct texts of ``<name>pairs`` (a, b), on a scale of 100.
+
+    For the SQL side only. Runs of equal letters on every diagonal are laid out once per pair; every step takes the
+    longest run, cut to its segment, of each segment that is left, the earliest of equals.
+    """
+    return f"""
+{name}numbered AS (SELECT a, b, row_number() OVER () AS pid FROM {name}pairs),
+{name}cells AS (
+  SELECT pid, x.i, y.j, x.i - y.j AS d
+  FROM (SELECT pid, unnest(range(1, length(a) + 1)) AS i, unnest(string_split(a, '')) AS c FROM {name}numbered) x
+  JOIN (SELECT pid, unnest(range(1, length(b) + 1)) AS j, unnest(string_split(b, '')) AS c FROM {name}numbered) y USING (pid, c)),
+{name}runs AS (
+  SELECT pid, i, j, count(*) OVER (PARTITION BY pid, d, g ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS r
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY pid, d ORDER BY i) AS g FROM {name}cells)),
+{name}seg(pid, alo, ahi, blo, bhi, k) AS (
+  SELECT pid, 1, length(a) + 1, 1, length(b) + 1, 0 FROM {name}numbered
+  UNION ALL
+  SELECT pid, unnest([alo, i + m]), unnest([i, ahi]), unnest([blo, j + m]), unnest([j, bhi]), unnest([m, 0]) FROM (
+    SELECT pid, alo, ahi, blo, bhi, i, j, m FROM (
+      SELECT s.pid, alo, ahi, blo, bhi, i, j, least(r, ahi - i, bhi - j) AS m,
+             row_number() OVER (PARTITION BY s.pid, alo, ahi, blo, bhi ORDER BY least(r, ahi - i, bhi - j) DESC, i, j) AS rn
+      FROM {name}seg s JOIN {name}runs t ON t.pid = s.pid AND i >= alo AND i < ahi AND j >= blo AND j < bhi) WHERE rn = 1)),
+{name}scores AS (
+  SELECT a, b, 2.0 * sum(k) / (length(a) + length(b)) * 100.0 AS score FROM {name}seg JOIN {name}numbered USING (pid) GROUP BY a, b)"""
+
+
+#: Rows of the roster and of the periods that stand in their table twice, some written otherwise the second time.
+REPEATS = """
+roster_repeats AS (
+  SELECT row_number, district, school, section, student FROM roster
+  UNION ALL
+  SELECT row_number + 2000000, district, school, section, student FROM roster WHERE row_number % 20 = 0),
+period_repeats AS (
+  SELECT period, row_number, district, school, section, student, section AS raw_section, student AS raw_student FROM periods
   UNION ALL
-  SELECT a, b, nlo, nhi, mlo, mhi, nk FROM (
-    WITH best AS (
-      SELECT s.a, s.b, s.alo, s.ahi, s.blo, s.bhi, i, j, m,
-             row_number() OVER (PARTITION BY s.a, s.b, s.alo, s.ahi, s.blo, s.bhi ORDER BY m DESC, i, j) AS rn
-      FROM (SELECT * FROM seg WHERE ahi > alo AND bhi > blo) s, range(1, 32) r1(i), range(1, 32) r2(j), range(1, 32) r3(m)
-      WHERE i >= alo AND j >= blo AND i + m <= ahi AND j + m <= bhi AND substr(a, i, m) = substr(b, j, m))
-    SELECT a, b, unnest([alo, i + m]) AS nlo, unnest([i, ahi]) AS nhi, unnest([blo, j + m]) AS mlo, unnest([j, bhi]) AS mhi, unnest([m, 0]) AS nk
-    FROM best WHERE rn = 1)),
-scores AS (SELECT a, b, 2.0 * sum(k) / (length(a) + length(b)) * 100.0 AS score FROM seg GROUP BY a, b)"""
+  SELECT period, row_number + 5000000, district, school, section, student, CASE WHEN row_number % 26 = 0 THEN upper(section) ELSE section END, CASE WHEN row_number % 39 = 0 THEN upper(student) ELSE student END
+  FROM periods WHERE row_number % 13 = 0)"""
+
+#: Periods with sections that the first lacks, blank names and faulty rows.
+TRACKED = """
+tracked AS (
+  SELECT period, row_number, district, school, section, CASE WHEN row_number % 97 = 0 THEN '' ELSE student END AS student FROM periods
+  WHERE NOT (period = 1 AND section = 'b' AND length(school) % 2 = 0)),
+sheet_rows AS (
+  SELECT period, row_number, CASE WHEN row_number % 31 = 0 THEN '' ELSE district END AS district, school,
+         CASE WHEN row_number % 29 = 0 THEN '7' WHEN period = 3 THEN '4,0' ELSE '3' END AS grade,
+         CASE WHEN row_number % 23 = 0 THEN 'ab' WHEN row_number % 2 = 0 THEN upper(section) ELSE section END AS section, student FROM tracked)"""
+
+#: Audited pairs: scores as fractions, a pattern for some, and a rise only with a pattern.
+AUDIT = """
+audit0 AS (
+  SELECT o_orderkey AS k, o_orderstatus AS sheet, o_custkey AS person, cast((o_orderkey % 101) / 100.0 AS double) AS baseline,
+         CASE o_orderkey % 5 WHEN 0 THEN 'Initial abbreviation' WHEN 1 THEN 'Trailing omission' ELSE '' END AS pattern FROM orders),
+audit1 AS (
+  SELECT *, CASE WHEN pattern <> '' AND k % 2 = 0 AND baseline < 0.97 THEN cast(0.97 AS double) ELSE baseline END AS adjusted, baseline <= 0.9 AND k % 3 <> 0 AS baseline_is_red FROM audit0),
+audit AS (
+  SELECT *, CASE WHEN NOT baseline_is_red THEN '' WHEN k % 4 = 0 THEN 'red_location' ELSE 'red_name' END AS baseline_red_reason,
+         CASE WHEN adjusted > baseline AND k % 7 < 4 THEN 'Green + review' WHEN adjusted > baseline THEN 'Yellow + review' WHEN pattern <> '' THEN 'Review only' ELSE 'Unchanged' END AS decision FROM audit1)"""
 
-_WITH = {"roster": (ROSTER,), "src": (ROSTER, SRC), "periods": (ROSTER, PERIODS)}
+_WITH = {
+    "roster": (ROSTER,), "src": (ROSTER, SRC), "periods": (ROSTER, PERIODS), "roster_repeats": (ROSTER, PERIODS, REPEATS), "period_repeats": (ROSTER, PERIODS, REPEATS), "audit": (AUDIT,), "tracked": (ROSTER, PERIODS, TRACKED), "sheet_rows": (ROSTER, PERIODS, TRACKED),
+}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,17 +118,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of roster, src, periods."""
+    """One of the tables of ``_WITH``."""
     text = ",".join(_WITH[name])
-    for t in ("customer", "nation", "region"):
-        text = text.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
-    tables = {t: load(spark, sf_dir, t) for t in ("customer", "nation", "region")}
+    tables = {}
+    for t in ("customer", "nation", "region", "orders"):
+        placed = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
+        if placed != text:
+            tables[t], text = load(spark, sf_dir, t), placed
     return spark.sql(f"WITH {text} SELECT * FROM {name}", **tables)
 
 
 def oracle(query: str, *names: str, recursive: bool = False, more: str = "") -> str:
     """``query`` for DuckDB over the derived tables it names; ``more`` holds further common tables."""
-    parts = [ROSTER, *(p for n, p in (("src", SRC), ("periods", PERIODS)) if n in names)] if names else []
+    parts = list(dict.fromkeys(part for n in names for part in _WITH[n]))
     if more:
         parts.append(more)
     return f"WITH {'RECURSIVE ' if recursive else ''}{','.join(parts)}\n{query}" if parts else query

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from rosterline.plans.fixtures import RATIO, oracle
+from rosterline.plans import linkage_oracles, tracking_oracles
+from rosterline.plans.fixtures import oracle, ratio_sql
 
 _ENTRY = """entry AS (
   SELECT row_number, CASE WHEN row_number % 50 = 0 THEN school ELSE district || ' / ' || school END AS v1,
@@ -20,27 +21,6 @@ _REPORTS = """reports AS (
   UNION ALL
   SELECT 'sheet' || period, district, school, student, upper(student), row_number + 5000000 FROM periods WHERE row_number % 13 = 0)"""
 
-_RESOLVED = f"""
-loc AS (SELECT district AS r_district, school AS r_school, min(row_number) AS first_row FROM roster GROUP BY ALL),
-want AS (SELECT DISTINCT district, school FROM src),
-pairs AS (
-  SELECT DISTINCT a, b FROM (
-    SELECT district AS a, r_district AS b FROM want, loc UNION ALL SELECT school, r_school FROM want, loc) WHERE a <> b),
-{RATIO},
-sim AS (
-  SELECT w.*, l.*, CASE WHEN district = r_district THEN 100.0 ELSE d.score END AS ds, CASE WHEN school = r_school THEN 100.0 ELSE s.score END AS ss
-  FROM want w CROSS JOIN loc l LEFT JOIN scores d ON d.a = district AND d.b = r_district LEFT JOIN scores s ON s.a = school AND s.b = r_school),
-ranked AS (
-  SELECT *, (ds >= 95 AND ss >= 95) AS accepted, row_number() OVER (PARTITION BY district, school ORDER BY (ds >= 95 AND ss >= 95) DESC,
-    (district = r_district AND school = r_school) DESC, least(ds, ss) DESC, (ds + ss) / 2.0 DESC, ss DESC, ds DESC, first_row) AS rn FROM sim),
-resolved AS (SELECT * FROM ranked WHERE rn = 1)"""
-
-_AUDIT = """audit AS (
-  SELECT o_orderstatus AS sheet, o_orderkey % 3 <> 0 AS red,
-         CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 4 = 0 THEN 'red_location' ELSE 'red_name' END AS why,
-         CASE o_orderkey % 7 WHEN 0 THEN 'Green + review' WHEN 1 THEN 'Yellow + review' WHEN 2 THEN 'Review only' ELSE 'Unchanged' END AS decision,
-         CAST((o_orderkey % 101) / 100.0 AS DOUBLE) AS baseline, CAST((o_orderkey % 101 + o_orderkey % 2) / 100.0 AS DOUBLE) AS adjusted FROM orders)"""
-
 _FLAGS = """flags AS (
   SELECT district, school, section, student, k, max(CASE WHEN period = 1 THEN 1 ELSE 0 END) AS p1, max(CASE WHEN period = 2 THEN 1 ELSE 0 END) AS p2,
          max(CASE WHEN period = 3 THEN 1 ELSE 0 END) AS p3, min(CASE WHEN period = 1 THEN row_number END) AS row_number
@@ -67,16 +47,17 @@ hits AS (
   SELECT conv_id, turn, keyword FROM conversations JOIN words
     ON contains(' ' || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) || ' ', ' ' || keyword || ' '))"""
 
-_SCORED = """old_rows AS (
-  SELECT row_number AS "row", district, school, section, substr(student, 1, 6) AS student,
-         CASE WHEN row_number % 5 = 0 THEN '3' WHEN row_number % 23 = 0 THEN '=A1' WHEN row_number % 7 = 0 THEN '2' END AS score, CAST(row_number % 11 AS VARCHAR) AS c1
-  FROM periods WHERE period = 1),
+_SCORED = """both_rows AS (SELECT *, row_number % 1000000 AS k FROM period_repeats WHERE row_number < 1000000 OR row_number % 2 = 0),
+old_rows AS (
+  SELECT row_number AS "row", district, school, section, student,
+         CASE WHEN k % 5 = 0 THEN '3' WHEN k % 23 = 0 THEN '=A1' WHEN k % 7 = 0 THEN '2' END AS score, k % 11 AS c1
+  FROM both_rows WHERE period = 1),
 new_rows AS (
-  SELECT row_number AS new_row, district, school, section, substr(student, 1, 6) AS student,
-         CASE WHEN row_number % 35 = 0 THEN '3' WHEN row_number % 10 = 0 THEN '9' END AS there, CASE WHEN row_number % 12 = 0 THEN 'x' ELSE CAST(row_number % 11 AS VARCHAR) END AS n1
-  FROM periods WHERE period = 3)"""
+  SELECT row_number AS new_row, district, school, section, student,
+         CASE WHEN k % 35 = 0 THEN '3' WHEN k % 10 = 0 THEN '9' END AS there, CASE WHEN k % 12 = 0 THEN -1 ELSE k % 11 END AS n1
+  FROM both_rows WHERE period = 3)"""
 
-ORACLES: dict[str, str] = {
+ORACLES: dict[str, str] = linkage_oracles.ORACLES | tracking_oracles.ORACLES | {
     "roster_split_location": oracle("SELECT row_number, district, school FROM entry", "roster", more=_ENTRY),
     "incomplete_counts": oracle(
         "SELECT count(*) FILTER (district IS NOT NULL AND trim(v3) <> '') AS usable, count(*) FILTER (trim(v3) = '') AS blank_students,"
@@ -85,7 +66,7 @@ ORACLES: dict[str, str] = {
     "normalize_ascii": "SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name_key, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')) AS type_key FROM part",
     "forward_fill_context": """
 SELECT conv_id, turn, last_value(nullif(trim(ctx), '') IGNORE NULLS) OVER w AS context, last_value(who IGNORE NULLS) OVER w AS speaker
-FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN substr(text, 1, 20) ELSE '' END AS ctx, CASE WHEN turn % 3 = 0 THEN role END AS who FROM conversations)
+FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN text ELSE '' END AS ctx, CASE WHEN turn % 3 = 0 THEN role END AS who FROM conversations)
 WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""".replace("nullif(trim(ctx), '')", "CASE WHEN trim(ctx) <> '' THEN ctx END"),
     "missing_sections_anti": oracle("SELECT DISTINCT district, school, section FROM roster EXCEPT SELECT district, school, section FROM periods WHERE period = 3", "periods"),
     "required_section_check": oracle(
@@ -96,8 +77,8 @@ WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING
         "SELECT district, school, section, student FROM periods WHERE period = 2 INTERSECT SELECT district, school, section, student FROM periods WHERE period = 3", "periods"),
     "partition_check": "SELECT 0 AS src_row, 0 AS w, 0 AS m, 0 AS u WHERE false",
     "kth_occurrence_join": """
-WITH n AS (SELECT conv_id, substr(text, 1, 2) AS head, turn, role = 'user' AS u, row_number() OVER (PARTITION BY conv_id, substr(text, 1, 2), role = 'user' ORDER BY turn) AS occurrence FROM conversations)
-SELECT a.conv_id, a.head, a.occurrence, a.turn AS left_turn, b.turn AS right_turn FROM n a JOIN n b USING (conv_id, head, occurrence) WHERE a.u AND NOT b.u""",
+WITH n AS (SELECT user_id, event_id, event_type = 'click' AS u, row_number() OVER (PARTITION BY user_id, event_type = 'click' ORDER BY event_id) AS occurrence FROM events)
+SELECT a.user_id, a.occurrence, a.event_id AS left_event_id, b.event_id AS right_event_id FROM n a JOIN n b USING (user_id, occurrence) WHERE a.u AND NOT b.u""",
     "page_ranges_islands": """
 WITH r AS (SELECT l_orderkey, min(l_linenumber) AS a, max(l_linenumber) AS b FROM (
   SELECT DISTINCT l_orderkey, l_linenumber, l_linenumber - dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS k FROM lineitem WHERE l_linenumber <> 3) GROUP BY l_orderkey, k)
@@ -123,22 +104,21 @@ SELECT l_suppkey, l_returnflag, l_linestatus, n FROM (
 SELECT l_partkey, vote, n FROM (SELECT l_partkey, l_linenumber AS vote, count(*) AS n, row_number() OVER (PARTITION BY l_partkey ORDER BY count(*) DESC, l_linenumber) AS r
   FROM lineitem GROUP BY 1, 2) WHERE r = 1""",
     "dup_exact_normalized": oracle("""
-SELECT period AS sheet, district, school, section, s2 AS student, n AS occurrences, CASE WHEN forms = 1 THEN 'Exact' ELSE 'Normalized' END AS duplicate_type,
+SELECT period AS sheet, district, school, section, student, n AS occurrences, CASE WHEN forms = 1 THEN 'Exact' ELSE 'Normalized' END AS duplicate_type,
        'S' || period || '-D' || lpad(CAST(row_number() OVER (PARTITION BY period ORDER BY first_row) AS VARCHAR), 4, '0') AS duplicate_group, "rows"
-FROM (SELECT period, district, school, section, substr(student, 1, 2) AS s2, count(*) AS n, count(DISTINCT row_number % 2) AS forms, min(row_number) AS first_row,
-             string_agg(CAST(row_number AS VARCHAR), ', ' ORDER BY row_number) AS "rows" FROM periods GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1)""", "periods"),
+FROM (SELECT period, district, school, section, student, count(*) AS n, count(DISTINCT raw_section || '|' || raw_student) AS forms, min(row_number) AS first_row,
+             string_agg(CAST(row_number AS VARCHAR), ', ' ORDER BY row_number) AS "rows" FROM period_repeats GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1)""", "period_repeats"),
     "dup_with_section": oracle("""
-SELECT 'SC-' || lpad(CAST(g AS VARCHAR), CAST(greatest(4, length(CAST(g AS VARCHAR))) AS INTEGER), '0') AS group_id, n AS group_count, row_number, district, school, section, student FROM (
-  SELECT *, count(*) OVER (PARTITION BY district, school, section, student) AS n, 0 AS z FROM (SELECT row_number, district, school, section, substr(student, 1, 3) AS student FROM roster))
-JOIN (SELECT district, school, section, substr(student, 1, 3) AS student, row_number() OVER (ORDER BY district, school, section, substr(student, 1, 3)) AS g FROM roster GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)
-USING (district, school, section, student)""", "roster"),
+SELECT 'SC-' || lpad(CAST(g AS VARCHAR), CAST(greatest(4, length(CAST(g AS VARCHAR))) AS INTEGER), '0') AS group_id, n AS group_count, row_number, district, school, section, student
+FROM roster_repeats JOIN (SELECT district, school, section, student, count(*) AS n, row_number() OVER (ORDER BY district, school, section, student) AS g FROM roster_repeats GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)
+USING (district, school, section, student)""", "roster_repeats"),
     "dup_without_section": oracle("""
 SELECT 'RC-' || lpad(CAST(g AS VARCHAR), CAST(greatest(4, length(CAST(g AS VARCHAR))) AS INTEGER), '0') AS group_id, n AS group_count, row_number, district, school, student
 FROM roster JOIN (SELECT district, school, student, count(*) AS n, row_number() OVER (ORDER BY district, school, student) AS g FROM roster GROUP BY 1, 2, 3 HAVING count(*) > 1)
 USING (district, school, student)""", "roster"),
     "duplicate_names_listagg": oracle("""
-SELECT period, district, school, substr(student, 1, 3) AS name, count(*) AS n, string_agg(DISTINCT substr(student, 1, 4), ' | ' ORDER BY substr(student, 1, 4)) AS spellings,
-       string_agg(CAST(row_number AS VARCHAR), ', ' ORDER BY row_number) AS "rows" FROM periods GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""", "periods"),
+SELECT period, district, school, student, count(*) AS n, string_agg(DISTINCT raw_student, ' | ' ORDER BY raw_student) AS spellings,
+       string_agg(CAST(row_number AS VARCHAR), ', ' ORDER BY row_number) AS "rows" FROM period_repeats GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""", "period_repeats"),
     "availability_wide": oracle("""
 SELECT row_number, district, school, student, """ + ", ".join(f"""CASE WHEN row_number % 17 = 0 THEN 'Invalid ERC data' WHEN size > 1 THEN 'Duplicate ERC key — see Sheet 8'
   WHEN coalesce(n{k}, 0) = 0 THEN 'Not Present' WHEN n{k} = 1 THEN m{k} ELSE 'Duplicate — see Sheet 8' END AS sheet{k}""" for k in (1, 2, 3)) + """
@@ -164,39 +144,44 @@ SELECT doc_id, sha256, CASE WHEN first <> doc_id THEN first END AS duplicate_of
     "manifest_counts": "SELECT lang AS status, count(*) AS instances, count(DISTINCT sha256(text)) AS unique_hashes FROM documents GROUP BY ROLLUP (lang)",
     "ratio_pairs": f"""WITH RECURSIVE p AS (
   SELECT lower(n_name) AS a, lower(r_name) AS b FROM nation, region UNION SELECT lower(x.n_name), reverse(lower(y.n_name)) FROM nation x, nation y),
-pairs AS (SELECT a, b FROM p WHERE a <> b), {RATIO}
+pairs AS (SELECT a, b FROM p WHERE a <> b), {ratio_sql()}
 SELECT p.a, p.b, CASE WHEN p.a = p.b THEN 100.0 ELSE s.score END AS score FROM p LEFT JOIN scores s ON s.a = p.a AND s.b = p.b""",
     "ratio_token_sort": oracle("""
 SELECT t.src_row, t.student, t.r_student, CASE WHEN t.student = t.r_student THEN 100.0 ELSE greatest(x.score, coalesce(y.score, 100.0)) END AS score
 FROM t LEFT JOIN scores x ON x.a = student AND x.b = r_student LEFT JOIN scores y ON y.a = s1 AND y.b = s2""", "src", recursive=True, more=f"""
 t AS (SELECT src_row, s.student, r.student AS r_student, array_to_string(list_sort(string_split(s.student, ' ')), ' ') AS s1, array_to_string(list_sort(string_split(r.student, ' ')), ' ') AS s2
   FROM src s JOIN roster r ON src_row = row_number),
-pairs AS (SELECT DISTINCT a, b FROM (SELECT student AS a, r_student AS b FROM t UNION ALL SELECT s1, s2 FROM t) WHERE a <> b), {RATIO}"""),
-    "resolve_location": oracle(
-        "SELECT district, school, accepted, r_district, r_school, ds AS district_score, ss AS school_score FROM resolved", "src", recursive=True, more=_RESOLVED),
-    "cohort_summary": f"""WITH {_AUDIT}, c AS (SELECT sheet, CASE WHEN red THEN why ELSE 'green' END AS st, decision FROM audit)
-SELECT *, 100.0 * red_to_green / original_red_records AS red_to_green_percent, 100.0 * (red_to_green + red_to_yellow) / original_red_records AS red_reduction_percent FROM (
-  SELECT sheet, count(*) AS original_red_records, count(*) FILTER (decision = 'Green + review') AS red_to_green, count(*) FILTER (decision = 'Yellow + review') AS red_to_yellow,
-         count(*) FILTER (decision <> 'Unchanged') AS flagged, count(*) FILTER (st <> 'green' AND decision IN ('Review only', 'Unchanged')) AS still_red,
-         count(*) FILTER (st = 'green') AS baseline_now_nonred, count(*) FILTER (st = 'red_location') AS red_location_now FROM c GROUP BY ROLLUP (sheet))""",
-    "red_improvement": f"""WITH {_AUDIT}
-SELECT *, baseline_red - red_to_green - red_to_yellow AS red_remaining, red_to_green / baseline_red AS red_to_green_rate, name_red_to_green / red_name AS name_red_to_green_rate,
-       location_red_to_green / red_location AS location_red_to_green_rate FROM (
+pairs AS (SELECT DISTINCT a, b FROM (SELECT student AS a, r_student AS b FROM t UNION ALL SELECT s1, s2 FROM t) WHERE a <> b), {ratio_sql()}"""),
+    "cohort_summary": oracle("""
+SELECT *, original_red_records - red_to_green - red_to_yellow AS not_promoted_by_rules, 100.0 * red_to_green / original_red_records AS red_to_green_percent,
+       100.0 * (red_to_green + red_to_yellow) / original_red_records AS red_reduction_percent FROM (
+  SELECT sheet, count(*) AS original_red_records, count(*) FILTER (up AND decision LIKE 'Green%') AS red_to_green, count(*) FILTER (up AND decision LIKE 'Yellow%') AS red_to_yellow,
+         count(*) FILTER (pattern <> '') AS flagged, count(*) FILTER (baseline_is_red AND NOT up) AS still_red,
+         count(*) FILTER (NOT baseline_is_red) AS baseline_now_nonred, count(*) FILTER (baseline_red_reason = 'red_location') AS red_location_now
+  FROM (SELECT *, baseline_red_reason = 'red_name' AND adjusted > baseline AS up FROM audit) GROUP BY ROLLUP (sheet))""", "audit"),
+    "red_improvement": oracle("""
+SELECT *, baseline_red - red_to_green - red_to_yellow AS red_remaining, 100.0 * red_to_green / baseline_red AS red_to_green_percent,
+       100.0 * (red_to_green + red_to_yellow) / baseline_red AS red_reduction_percent, 100.0 * name_red_to_green / red_name AS name_red_to_green_percent FROM (
   SELECT sheet, count(*) AS records, count(*) FILTER (red) AS baseline_red, count(*) FILTER (why = 'red_name') AS red_name, count(*) FILTER (why = 'red_location') AS red_location,
-         count(*) FILTER (red AND decision = 'Green + review') AS red_to_green, count(*) FILTER (red AND decision = 'Yellow + review') AS red_to_yellow,
-         count(*) FILTER (red AND adjusted > baseline) AS red_score_increases, count(*) FILTER (why = 'red_name' AND decision = 'Green + review') AS name_red_to_green,
-         count(*) FILTER (why = 'red_location' AND decision = 'Green + review') AS location_red_to_green FROM audit GROUP BY ROLLUP (sheet))""",
-    "audit_counters": f"""WITH {_AUDIT}
-SELECT count(*) AS records, count(*) FILTER (baseline <= 0.9) AS baseline_at_or_below_90, count(*) FILTER (adjusted > baseline) AS score_increases, count(*) FILTER (adjusted < baseline) AS score_decreases,
-       count(*) FILTER (baseline <= 0.9 AND adjusted > 0.9) AS crossed_90, count(*) FILTER (decision = 'Green + review') AS promoted_green, count(*) FILTER (decision = 'Yellow + review') AS promoted_yellow,
-       count(*) FILTER (adjusted = baseline) AS unchanged_scores, count(*) FILTER (decision = 'Review only') AS review_only FROM audit""",
+         count(*) FILTER (red AND up AND decision LIKE 'Green%') AS red_to_green, count(*) FILTER (red AND up AND decision LIKE 'Yellow%') AS red_to_yellow,
+         count(*) FILTER (red AND adjusted > baseline) AS red_score_increases, count(*) FILTER (why = 'red_name' AND up AND decision LIKE 'Green%') AS name_red_to_green,
+         count(*) FILTER (why = 'red_location' AND up AND decision LIKE 'Green%') AS location_red_to_green
+  FROM (SELECT *, baseline_is_red AS red, baseline_red_reason AS why, adjusted > baseline AND adjusted > 0.9 AS up FROM audit) GROUP BY ROLLUP (sheet))""", "audit"),
+    "audit_counters": oracle("""
+SELECT count(*) AS records, count(*) FILTER (baseline <= 0.9) AS baseline_at_or_below_90, count(*) FILTER (adjusted > baseline) AS score_increases, 0 AS score_decreases,
+       count(*) FILTER (crossed) AS crossed_90, count(*) FILTER (crossed AND decision LIKE 'Green%') AS promoted_green, count(*) FILTER (crossed AND decision LIKE 'Yellow%') AS promoted_yellow,
+       count(*) FILTER (pattern = '') AS unrelated_records, 0 AS unrelated_changed, count(*) FILTER (adjusted = baseline) AS unchanged_scores, count(*) FILTER (pattern <> '') AS flagged,
+       count(*) FILTER (decision = 'Review only') AS review_only, count(DISTINCT person) FILTER (pattern <> '') AS flagged_pairs,
+       count(DISTINCT person) FILTER (crossed AND decision LIKE 'Green%') AS promoted_green_pairs, count(DISTINCT person) FILTER (adjusted > baseline) AS increased_pairs
+FROM (SELECT *, adjusted > baseline AND baseline <= 0.9 AND adjusted > 0.9 AS crossed FROM audit)""", "audit"),
+    "pattern_histogram": oracle("SELECT pattern, count(*) AS pairs FROM audit WHERE pattern <> '' GROUP BY 1", "audit"),
     "transfer_scores": oracle("""
 SELECT o."row", CASE WHEN o.score LIKE '=%' THEN 'formula_scores' WHEN n_old > 1 THEN 'ambiguous_old' WHEN n_new IS NULL THEN 'no_exact_match' WHEN n_new > 1 THEN 'ambiguous_new'
     WHEN c1 <> n1 THEN 'changed_context' WHEN there = o.score THEN 'already_present' WHEN there IS NOT NULL THEN 'target_conflicts' ELSE 'transferred' END AS outcome,
   CASE WHEN n_new = 1 THEN new_row END AS new_row, o.score
 FROM (SELECT *, count(*) OVER (PARTITION BY district, school, section, student) AS n_old FROM old_rows) o
 LEFT JOIN (SELECT district, school, section, student, count(*) AS n_new, min(new_row) AS new_row, min(there) AS there, min(n1) AS n1 FROM new_rows GROUP BY 1, 2, 3, 4) n USING (district, school, section, student)
-WHERE o.score IS NOT NULL""", "periods", more=_SCORED),
+WHERE o.score IS NOT NULL""", "period_repeats", more=_SCORED),
     "apply_corrections": oracle("""
 SELECT s.row_number AS "row", coalesce(t.name, s.student) AS student, t.name IS NOT NULL AS corrected FROM roster s LEFT JOIN (
   SELECT target, min(name) AS name FROM (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterline.functions import evidence as ev
 from rosterline.functions.normalize import normalised_once
 from rosterline.functions.similarity import scored_pairs
-from rosterline.operators import discovery, duplicates, linkage, relational, review, tracking
+from rosterline.operators import discovery, duplicates, linkage, missing, relational, reports, review, tracking
 from rosterline.plans.fixtures import derived, load
 
 PLACE = ["district", "school"]
@@ -46,7 +46,7 @@ def normalize_ascii(spark, sf_dir):
 
 def forward_fill_context(spark, sf_dir):
     c = load(spark, sf_dir, "conversations")
-    rows = c.select("conv_id", "turn", F.when(F.col("role") == "user", F.substring("text", 1, 20)).otherwise("").alias("context"), F.when(F.col("turn") % 3 == 0, F.col("role")).alias("speaker"))
+    rows = c.select("conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).otherwise("").alias("context"), F.when(F.col("turn") % 3 == 0, F.col("role")).alias("speaker"))
     return relational.forward_fill(rows, "conv_id", "turn", ["context", "speaker"])
 
 
@@ -85,8 +85,8 @@ def partition_check(spark, sf_dir):
 
 
 def kth_occurrence_join(spark, sf_dir):
-    c = load(spark, sf_dir, "conversations").withColumn("head", F.substring("text", 1, 2))
-    return relational.kth_occurrence_pairs(c.where("role = 'user'"), c.where("role <> 'user'"), ["conv_id", "head"], "turn")
+    e = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return relational.kth_occurrence_pairs(e.where("event_type = 'click'"), e.where("event_type <> 'click'"), ["user_id"], "event_id")
 
 
 def page_ranges_islands(spark, sf_dir):
@@ -139,15 +139,14 @@ def majority_vote(spark, sf_dir):
 
 
 def dup_exact_normalized(spark, sf_dir):
-    p = derived(spark, sf_dir, "periods")
-    rows = p.select(F.col("period").alias("sheet"), F.col("row_number").alias("row"), *PLACE, "section", F.when(F.col("row_number") % 2 == 0, F.upper("section")).otherwise(F.col("section")).alias("raw"), F.substring("student", 1, 2).alias("student"))
-    got = duplicates.sheet_duplicates(rows, [*SECTION, "student"], [*PLACE, "raw", "student"])
+    p = derived(spark, sf_dir, "period_repeats")
+    rows = p.select(F.col("period").alias("sheet"), F.col("row_number").alias("row"), *SECTION, "student", "raw_section", "raw_student")
+    got = duplicates.sheet_duplicates(rows, [*SECTION, "student"], [*PLACE, "raw_section", "raw_student"])
     return got.select("sheet", *SECTION, "student", "occurrences", "duplicate_type", "duplicate_group", "rows")
 
 
 def dup_with_section(spark, sf_dir):
-    r = derived(spark, sf_dir, "roster").withColumn("student", F.substring("student", 1, 3))
-    return relational.duplicate_groups(r, [*SECTION, "student"], "SC", "row_number")
+    return relational.duplicate_groups(derived(spark, sf_dir, "roster_repeats"), [*SECTION, "student"], "SC", "row_number")
 
 
 def dup_without_section(spark, sf_dir):
@@ -155,8 +154,7 @@ def dup_without_section(spark, sf_dir):
 
 
 def duplicate_names_listagg(spark, sf_dir):
-    p = derived(spark, sf_dir, "periods").withColumns({"name": F.substring("student", 1, 3), "raw": F.substring("student", 1, 4)})
-    return duplicates.repeated_names(p, ["period", *PLACE], "name", "raw", "row_number")
+    return duplicates.repeated_names(derived(spark, sf_dir, "period_repeats"), ["period", *PLACE], "student", "raw_student", "row_number")
 
 
 def _reports(spark, sf_dir):
@@ -230,8 +228,9 @@ def classify_students(spark, sf_dir):
 
 
 def status_rollup(spark, sf_dir):
-    got = classify_students(spark, sf_dir).withColumn("sheet", (F.col("src_row") % 3).cast("string"))
-    return linkage.status_counts(got)
+    s = derived(spark, sf_dir, "src").withColumn("section", F.when(F.col("src_row") % 8 == 0, "").otherwise(F.col("section")))
+    got = linkage.classify_students(s, derived(spark, sf_dir, "roster")).join(s.select("src_row", *SECTION), "src_row")
+    return linkage.status_counts(got.withColumn("sheet", (F.col("src_row") % 3).cast("string")), lacking=linkage.incomplete(*SECTION))
 
 
 def best_by_section(spark, sf_dir):
@@ -252,7 +251,7 @@ def two_level_resolve(spark, sf_dir):
 
 
 def name_evidence(spark, sf_dir):
-    pairs = ratio_token_sort(spark, sf_dir).select("src_row", "student", "r_student")
+    pairs = derived(spark, sf_dir, "src").select("src_row", "student").join(derived(spark, sf_dir, "roster").select(F.col("row_number").alias("src_row"), F.col("student").alias("r_student")), "src_row")
     got = pairs.withColumn("e", ev.evidence("student", "r_student"))
     return got.select("src_row", "e.pattern", "e.rule_score", "e.initials", "e.omitted", "e.anchors", "e.fuzzy_parts")
 
@@ -270,14 +269,7 @@ def cohort_measures(spark, sf_dir):
 
 
 def _audit_rows(spark, sf_dir):
-    o = load(spark, sf_dir, "orders")
-    red = F.col("o_orderkey") % 3 != 0
-    return o.select(
-        F.col("o_orderstatus").alias("sheet"), red.alias("baseline_is_red"),
-        F.when(red, F.when(F.col("o_orderkey") % 4 == 0, "red_location").otherwise("red_name")).otherwise("").alias("baseline_red_reason"),
-        F.when(F.col("o_orderkey") % 7 == 0, "Green + review").when(F.col("o_orderkey") % 7 == 1, "Yellow + review").when(F.col("o_orderkey") % 7 == 2, "Review only").otherwise("Unchanged").alias("decision"),
-        ((F.col("o_orderkey") % 101) / 100.0).cast("double").alias("baseline"), ((F.col("o_orderkey") % 101 + F.col("o_orderkey") % 2) / 100.0).cast("double").alias("adjusted"),
-    )
+    return derived(spark, sf_dir, "audit")
 
 
 def red_improvement(spark, sf_dir):
@@ -285,20 +277,26 @@ def red_improvement(spark, sf_dir):
 
 
 def cohort_summary(spark, sf_dir):
-    rows = _audit_rows(spark, sf_dir).select("sheet", F.when(F.col("baseline_is_red"), F.col("baseline_red_reason")).otherwise("green").alias("baseline_status"), "decision", (F.col("decision") != "Unchanged").alias("review_required"))
+    red, decision = F.col("baseline_red_reason"), F.col("decision")
+    kept = F.when(decision.isin(*review.PROMOTED) & (red != "red_name"), "Review only").otherwise(decision)
+    rows = _audit_rows(spark, sf_dir).select("sheet", F.when(F.col("baseline_is_red"), red).otherwise("green").alias("baseline_status"), kept.alias("decision"), (F.col("pattern") != "").alias("review_required"))
     return review.cohort_summary(rows)
 
 
 def audit_counters(spark, sf_dir):
-    return review.audit_counters(_audit_rows(spark, sf_dir))
+    return review.audit_counters(_audit_rows(spark, sf_dir), identity=("person",))
+
+
+def pattern_histogram(spark, sf_dir):
+    return review.pattern_histogram(_audit_rows(spark, sf_dir))
 
 
 def _scored(spark, sf_dir):
-    p = derived(spark, sf_dir, "periods")
-    k = F.col("row_number")
+    p = derived(spark, sf_dir, "period_repeats").where("row_number < 1000000 OR row_number % 2 = 0")
+    k = F.col("row_number") % 1000000
     score = F.when(k % 5 == 0, "3").when(k % 23 == 0, "=A1").when(k % 7 == 0, "2")
-    old = p.where("period = 1").select(k.alias("row"), *SECTION, F.substring("student", 1, 6).alias("student"), score.alias("score"), (k % 11).cast("string").alias("c1"))
-    new = p.where("period = 3").select(k.alias("row"), *SECTION, F.substring("student", 1, 6).alias("student"), F.when(k % 35 == 0, "3").when(k % 10 == 0, "9").alias("score"), F.when(k % 12 == 0, "x").otherwise((k % 11).cast("string")).alias("c1"))
+    old = p.where("period = 1").select(F.col("row_number").alias("row"), *SECTION, "student", score.alias("score"), (k % 11).cast("int").alias("c1"))
+    new = p.where("period = 3").select(F.col("row_number").alias("row"), *SECTION, "student", F.when(k % 35 == 0, "3").when(k % 10 == 0, "9").alias("score"), F.when(k % 12 == 0, -1.0).otherwise((k % 11).cast("double")).alias("c1"))
     return old, new
 
 
@@ -343,12 +341,12 @@ def overview_metrics(spark, sf_dir):
 
 def section_reconciliation_matched(spark, sf_dir):
     p = derived(spark, sf_dir, "periods")
-    return tracking.matched_reconciliation(p, tracking.section_matches(p, SECTION), SECTION)
+    return tracking.matched_reconciliation(p, tracking.section_matches(p, SECTION).persist(), SECTION)
 
 
 def student_exceptions_matched(spark, sf_dir):
     p = derived(spark, sf_dir, "periods")
-    return tracking.matched_exceptions(p, tracking.section_matches(p, SECTION), SECTION)
+    return tracking.matched_exceptions(p, tracking.section_matches(p, SECTION).persist(), SECTION)
 
 
 def overview_metrics_matched(spark, sf_dir):
@@ -360,6 +358,160 @@ def label_clusters(spark, sf_dir):
     return tracking.label_clusters(s, "school", "school", within=["district"])
 
 
+def match_report(spark, sf_dir):
+    s, r = derived(spark, sf_dir, "src"), derived(spark, sf_dir, "roster")
+    return reports.match_report(s, linkage.classify_students(s, r), r)
+
+
+def _sheet():
+    return F.concat(F.lit("Sheet "), (F.col("src_row") % 3 + 1).cast("string"))
+
+
+def mismatch_report(spark, sf_dir):
+    s = derived(spark, sf_dir, "src")
+    return reports.mismatch_report(s, linkage.classify_students(s, derived(spark, sf_dir, "roster")), _sheet())
+
+
+def candidates_report(spark, sf_dir):
+    s, r = derived(spark, sf_dir, "src"), derived(spark, sf_dir, "roster")
+    return reports.candidates_report(s, linkage.candidate_rows(s, r), r, _sheet())
+
+
+def legacy_report(spark, sf_dir):
+    return reports.legacy_report(derived(spark, sf_dir, "src"))
+
+
+def _advice(spark, sf_dir):
+    s, r = derived(spark, sf_dir, "src"), derived(spark, sf_dir, "roster")
+    classified = linkage.legacy_classify(s, r).persist()
+    return s, r, classified, linkage.legacy_advice(s, r, classified)
+
+
+def legacy_advice(spark, sf_dir):
+    return _advice(spark, sf_dir)[3]
+
+
+def legacy_mismatch(spark, sf_dir):
+    s, r, classified, advice = _advice(spark, sf_dir)
+    return reports.legacy_mismatch(s, classified, advice, r, _sheet())
+
+
+def mismatch_cohort(spark, sf_dir):
+    sheet = mismatch_report(spark, sf_dir).select(*[F.col(f"`{a}`").cast("string").alias(b) for a, b in (("Source Sheet", "sheet"), ("Source District", "district"), ("Source Student Name", "student"), ("Reason Not Matched", "reason"))])
+    blank = spark.createDataFrame([(None, "", " ", None), (review.NO_MISMATCH, None, "", None)], sheet.schema)
+    return review.mismatch_cohort(sheet.unionByName(blank))
+
+
+def baseline_red(spark, sf_dir):
+    s, r = derived(spark, sf_dir, "src"), derived(spark, sf_dir, "roster")
+    own = r.select(F.col("row_number").alias("src_row"), F.col("student").alias("mapped"), F.when(F.col("row_number") % 4 == 0, "nowhere").otherwise(F.col("school")).alias("m_school"), F.col("district").alias("m_district"), F.col("section").alias("m_section"))
+    keys = {"district": "m_district", "school": "m_school", "section": "m_section", "student": "mapped"}
+    pairs = s.select("src_row", F.col("student").alias("name")).join(own, "src_row").select("src_row", "name", *[F.col(b).alias(a) for a, b in keys.items()])
+    pairs = review.mapped_targets(pairs, r, list(keys))
+    scored = scored_pairs(pairs.withColumn("target", F.when(F.col("target_row").isNotNull(), F.col("student"))), "name", "target")
+    scored = scored.select("src_row", F.col("district").alias("r_district"), F.col("school").alias("r_school"), F.when(F.col("target").isNotNull(), F.col("score")).alias("score"))
+    return review.baseline_red_reason(scored, linkage.classify_students(s, r))
+
+
+def period_faults(spark, sf_dir):
+    return tracking.period_faults(derived(spark, sf_dir, "sheet_rows")).select("period", "row_number", "section_key", "issue_type", "kept")
+
+
+def data_issues(spark, sf_dir):
+    return tracking.data_issues(tracking.period_faults(derived(spark, sf_dir, "sheet_rows")))
+
+
+def comparison_plan(spark, sf_dir):
+    return tracking.comparison_plan(derived(spark, sf_dir, "tracked"), SECTION)
+
+
+def _tracked(spark, sf_dir):
+    p = derived(spark, sf_dir, "tracked")
+    return p, tracking.section_matches(p, SECTION).persist()  # read several times by what follows
+
+
+def section_sheet(spark, sf_dir):
+    p, found = _tracked(spark, sf_dir)
+    return reports.section_sheet(tracking.matched_reconciliation(p, found, SECTION))
+
+
+def unmatched_candidates(spark, sf_dir):
+    p, found = _tracked(spark, sf_dir)
+    return tracking.residuals(p, found, SECTION)
+
+
+def later_rows(spark, sf_dir):
+    p, found = _tracked(spark, sf_dir)
+    return reports.later_rows(tracking.residuals_by_pair(p, found, SECTION), p.select(*SECTION, "period", F.col("row_number").alias("row"), "student"), SECTION)
+
+
+def match_review(spark, sf_dir):
+    p, found = _tracked(spark, sf_dir)
+    return tracking.match_review(p, found, SECTION)
+
+
+def tracking_overview(spark, sf_dir):
+    p, found = _tracked(spark, sf_dir)
+    rest = {pair: df.persist() for pair, df in tracking.residuals_by_pair(p, found, SECTION).items()}
+    later = reports.later_rows(rest, p.select(*SECTION, "period", F.col("row_number").alias("row"), "student"), SECTION)
+    issues = tracking.match_review(p, found, SECTION, rest).select("status").unionByName(data_issues(spark, sf_dir).select("status"))
+    repeated = duplicates.repeated_names(p.where("student <> ''"), ["period", *SECTION], "student", "student", "row_number")
+    exceptions = tracking.matched_exceptions(p, found, SECTION).where("period = 1")
+    return reports.overview(tracking.matched_reconciliation(p, found, SECTION), exceptions, later, repeated, issues)
+
+
+def institution_ids(spark, sf_dir):
+    p = derived(spark, sf_dir, "periods")
+    late = F.col("period") == 2
+    rows = p.select(
+        "period", "row_number", F.when(late, F.concat(F.upper("district"), F.lit(" ILCESI"))).otherwise(F.upper("district")).alias("district"),
+        F.when(late & (F.col("row_number") % 3 == 0), F.concat(F.upper("school"), F.lit("X"))).otherwise(F.upper("school")).alias("school"),
+    )
+    return tracking.institutions(rows)
+
+
+def _scanned(spark, sf_dir):
+    rows = derived(spark, sf_dir, "sheet_rows").select(F.format_string("sheet%d", "period").alias("sheet"), "district", F.when(F.col("row_number") % 37 == 0, F.concat("school", F.lit("q"))).otherwise(F.col("school")).alias("school"), "section")
+    required = derived(spark, sf_dir, "roster").select(*PLACE, F.upper("section").alias("section")).distinct()
+    return rows, required, missing.scanned(rows, linkage.two_level_resolve(rows, required).persist())
+
+
+def scan_counts(spark, sf_dir):
+    return missing.scan_counts(_scanned(spark, sf_dir)[2])
+
+
+def missing_by_sheet(spark, sf_dir):
+    rows, required, scanned = _scanned(spark, sf_dir)
+    return missing.missing_sections(required, scanned, rows)
+
+
+def missing_entries(spark, sf_dir):
+    r = derived(spark, sf_dir, "roster")
+    n = F.col("row_number")
+    title = F.when(n % 3 == 0, "3. Sinif 1. Donem").when(n % 3 == 1, "4 SINIF").otherwise("3 sinif 2")
+    rows = r.select(title.alias("sheet"), "row_number", "district", F.concat(F.initcap("school"), F.lit(" Ilkokulu")).alias("school"), F.when(n % 5 == 0, "ab").when(n % 7 == 0, "").otherwise(F.concat(F.lit("4 / "), "section")).alias("section"))
+    return missing.missing_entries(rows)
+
+
+def text_evidence(spark, sf_dir):
+    r = derived(spark, sf_dir, "roster")
+    n = F.col("row_number")
+    text = F.concat(F.lit("Puan 4"), F.when(n % 2 == 0, " - ").otherwise("/"), F.upper("section"), F.lit(" listesi "), F.when(n % 3 == 0, "3 sinif, 2. DONEM not").otherwise(F.col("student")))
+    got = r.select("row_number", missing.text_evidence(text).alias("e"))
+    return got.select("row_number", *[F.array_join(f"e.{c}", ",").alias(c) for c in ("grades", "terms", "sections", "grade_headings")])
+
+
+def sheet_lookup(spark, sf_dir):
+    n = load(spark, sf_dir, "nation")
+    wanted = n.select(F.when(F.col("n_nationkey") % 3 == 0, F.lower("n_name")).when(F.col("n_nationkey") % 3 == 1, F.concat("n_name", F.lit("?"))).otherwise(F.col("n_name")).alias("sheet"))
+    return missing.sheet_lookup(wanted, n.select(F.col("n_name").alias("sheet")))
+
+
+def roster_problems(spark, sf_dir):
+    rows = entry_table(spark, sf_dir).withColumn("v2", F.when(F.col("row_number") % 60 == 0, " ").otherwise(F.col("v2")))
+    return missing.roster_problems(rows).select("row_number", "problem")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -370,8 +522,11 @@ QUERIES = {
         availability_duplicates, keyword_hits, keyword_locations, path_only_hits, content_hash_duplicates, manifest_counts,
         ratio_pairs, ratio_token_sort, resolve_location, classify_students, status_rollup, best_by_section, multiple_candidates,
         legacy_classify, two_level_resolve, name_evidence, assess_pairs, promote_unmatched, cohort_measures, cohort_summary,
-        red_improvement, audit_counters, transfer_scores, apply_corrections, tracking_exact, tracking_matches,
+        red_improvement, audit_counters, pattern_histogram, transfer_scores, apply_corrections, tracking_exact, tracking_matches,
         section_reconciliation, student_exceptions, overview_metrics, label_clusters,
-        section_reconciliation_matched, student_exceptions_matched, overview_metrics_matched,
+        section_reconciliation_matched, student_exceptions_matched, overview_metrics_matched, match_report, mismatch_report, candidates_report,
+        legacy_report, legacy_advice, legacy_mismatch, mismatch_cohort, baseline_red, period_faults, data_issues, comparison_plan, section_sheet,
+        unmatched_candidates, later_rows, match_review, tracking_overview, institution_ids, scan_counts, missing_by_sheet, missing_entries,
+        text_evidence, sheet_lookup, roster_problems,
     )
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from rosterline.plans import layout_queries
 from rosterline.plans.oracles import ORACLES
 from rosterline.plans.queries import QUERIES
 from rosterline.streaming.events import STREAM_ORACLES, STREAM_QUERIES
 
-QUERIES = QUERIES | STREAM_QUERIES
-ORACLES = ORACLES | STREAM_ORACLES
+QUERIES = QUERIES | layout_queries.QUERIES | STREAM_QUERIES
+ORACLES = ORACLES | layout_queries.ORACLES | STREAM_ORACLES

@@ -125,34 +125,46 @@ class Workbook:
 
 
 @dataclass
-class _Sheet(InputPartition):
+class _File(InputPartition):
     path: str
-    sheet: str
 
 
 class _Reader(DataSourceReader):
+    """One partition per workbook; which of its sheets are wanted is found where it is read."""
+
     def __init__(self, options: dict[str, str], width: int):
         self.options, self.width = options, width
 
     def partitions(self) -> list[InputPartition]:
-        chosen, out = self.options.get("sheet"), []
-        for path in self.options["path"].split(","):
-            names = list(Workbook(path).paths)
-            if chosen is None:
-                wanted = names
-            elif chosen in names:
-                wanted = [chosen]
-            elif chosen.isdigit() and 1 <= int(chosen) <= len(names):
-                wanted = [names[int(chosen) - 1]]
-            else:
-                raise ValueError(f"no sheet {chosen} in {path}")
-            out += [_Sheet(path, n) for n in wanted]
-        return out
+        return [_File(path) for path in self.options["path"].split(",")]
 
-    def read(self, partition: _Sheet) -> Iterator[tuple]:
+    def read(self, partition: _File) -> Iterator[tuple]:
         formulas = self.options.get("formulas", "false").lower() == "true"
-        for number, cells in Workbook(partition.path).rows(partition.sheet, formulas):
-            yield (partition.path, partition.sheet, number, *(cells.get(k) for k in range(1, self.width + 1)))
+        book = Workbook(partition.path)
+        for sheet in chosen_sheets(list(book.paths), self.options.get("sheet"), partition.path):
+            for number, cells in book.rows(sheet, formulas):
+                if max(cells) > self.width:
+                    raise ValueError(f"row {number} of {sheet} has cells behind column {column_letters(self.width)}; read more columns")
+                yield (partition.path, sheet, number, *(cells.get(k) for k in range(1, self.width + 1)))
+
+
+def chosen_sheets(names: list[str], chosen: str | None, path: str = "") -> list[str]:
+    """All sheets, or the one of that name, or else of that place."""
+    if chosen is None:
+        return names
+    if chosen in names:
+        return [chosen]
+    if chosen.isdigit() and 1 <= int(chosen) <= len(names):
+        return [names[int(chosen) - 1]]
+    raise ValueError(f"no sheet {chosen} in {path}")
+
+
+def distinct_sheets(names: list[str], chosen: list[str | None]) -> list[str]:
+    """The sheets of several periods by name, place or, where none is given, order; each must be another one."""
+    found = [chosen_sheets(names, str(k + 1) if c is None else c)[0] for k, c in enumerate(chosen)]
+    if len(set(found)) != len(found):
+        raise ValueError(f"sheets are named twice: {found}")
+    return found
 
 
 class XlsxSource(DataSource):
@@ -171,7 +183,10 @@ class XlsxSource(DataSource):
 
 
 def read_xlsx(spark: SparkSession, *paths: str, sheet: str | int | None = None, columns: int = 26, formulas: bool = False) -> DataFrame:
-    """file, sheet, row_number and cells c1, c2, … of workbooks on a file system that all executors see."""
+    """file, sheet, row_number and cells c1, c2, … of workbooks on a file system that all executors see.
+
+    A cell behind the last of ``columns`` is an error, never left out.
+    """
     spark.dataSource.register(XlsxSource)
     reader = spark.read.format("xlsx").option("path", ",".join(paths)).option("columns", columns).option("formulas", str(formulas))
     if sheet is not None:
