@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,18 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Arrow batches of at most ``size`` for the jobs inside, which hold several rows of long lists at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new place in the shared folder, emptied when the session's program ends."""
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import components, drop_written, runs, split_hot, starts_of, text_pieces, unused, written
+from rosterline.llm.common import components, drop_written, runs, small_batches, split_hot, starts_of, text_pieces, unused, written
 from rosterline.llm.simhash import _LOWER, _WORDS, MAX_DIFFERENT_BITS, fingerprint, first_of_groups, near_links
 
 SHINGLE_WORDS = 5
@@ -159,7 +159,7 @@ def compared_in_place(opened: DataFrame, sets: DataFrame, signs: DataFrame, leas
         return joined
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in runs(batches, order, 4 * cap):
+        for part in runs(batches, order, cap):
             begins = starts_of(part, order)
             cross = part.column("bi").to_numpy() != part.column("bj").to_numpy()
             out = [pair for a, b in zip(begins.tolist(), [*begins[1:].tolist(), part.num_rows], strict=True) if b - a > 1 for pair in work(part.slice(a, b - a), bool(cross[a]))]
@@ -217,9 +217,10 @@ def similar_groups(rows: DataFrame, id_column: str, text_column: str = "text", w
     wanted = buckets.select("row").union(proposed.select("src")).union(proposed.select("dst"))
     wanted = written(wanted.distinct())
     texts = rows.select(F.col(id_column).alias("row"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    sets = written(shingle_sets(texts.join(wanted, "row", "left_semi"), words))
     signs = classes.select(F.col("first").alias("row"), "keys")
-    star = similar_links(buckets, sets, signs, written(verified(proposed, sets, least)), least, **limits)
+    with small_batches(rows.sparkSession):
+        sets = written(shingle_sets(texts.join(wanted, "row", "left_semi"), words))
+        star = similar_links(buckets, sets, signs, written(verified(proposed, sets, least)), least, **limits)
     named = classes.select("h1", "h2", "first")
     if star is not None:
         named = named.join(star.withColumnRenamed("node", "first"), "first", "left").select("h1", "h2", F.coalesce("component", "first").alias("first"))
