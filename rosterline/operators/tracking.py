@@ -262,8 +262,8 @@ def match_periods(left: DataFrame, right: DataFrame, keys: list[str], threshold:
 
     one, two = numbered_rows(left, "left"), numbered_rows(right, "right")
     exact = one.join(two, [*keys, "student", "k"])
-    rest_one = one.join(exact.select("left_row"), "left_row", "left_anti").select(*keys, F.col("student").alias("left_student"), "left_row")
-    rest_two = two.join(exact.select("right_row"), "right_row", "left_anti").select(*keys, F.col("student").alias("right_student"), "right_row")
+    rest_one = one.join(exact.select(*keys, "left_row"), [*keys, "left_row"], "left_anti").select(*keys, F.col("student").alias("left_student"), "left_row")
+    rest_two = two.join(exact.select(*keys, "right_row"), [*keys, "right_row"], "left_anti").select(*keys, F.col("student").alias("right_student"), "right_row")
     pairs = similar_pairs(rest_one, rest_two, keys, "left_row", "left_student", "right_row", "right_student", threshold - margin, "label")
     pairs = pairs.join(rest_one, [*keys, "left_row"]).join(rest_two, [*keys, "right_row"])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.select(*keys).schema)
@@ -287,12 +287,12 @@ def unmatched(left: DataFrame, right: DataFrame, matches: DataFrame, keys: list[
     next best score of the row itself, ``other_second`` that of its candidate.
     """
     rest = {
-        side: df.join(matches.select(F.col(f"{side}_row").alias("row_number")), "row_number", "left_anti").select(*keys, F.col("row_number").alias("row"), F.col("student").alias("text"))
+        side: df.join(matches.select(*keys, F.col(f"{side}_row").alias("row_number")), [*keys, "row_number"], "left_anti").select(*keys, F.col("row_number").alias("row"), F.col("student").alias("text")).persist()
         for side, df in (("left", left), ("right", right))
     }
     best = {
-        "left": best_rows(rest["left"], rest["right"], keys, "label"),
-        "right": best_rows(rest["right"], rest["left"], keys, "label", turned=True),
+        "left": best_rows(rest["left"], rest["right"], keys, "label").persist(),  # each is read for its own side and for the other
+        "right": best_rows(rest["right"], rest["left"], keys, "label", turned=True).persist(),
     }
     got = None
     for side, across in (("left", "right"), ("right", "left")):
@@ -380,26 +380,24 @@ def comparison_plan(periods: DataFrame, keys: list[str]) -> DataFrame:
     return _sections(periods, keys).select(*keys, mode.alias("mode"), F.explode(plan).alias("x")).select(*keys, "mode", "x.*")
 
 
-def residuals_by_pair(periods: DataFrame, matches: DataFrame, keys: list[str]) -> dict[tuple[int, int], DataFrame]:
-    """``unmatched`` of every pair of periods of the comparison plan."""
-    rows = _students(periods)
-    plan = comparison_plan(periods, keys)
-    out = {}
-    for one, two in ((1, 2), (1, 3), (2, 3)):
-        here = plan.where((F.col("left_period") == one) & (F.col("right_period") == two)).select(*keys)
-        left, right = (rows.where(F.col("period") == p).join(here, keys, "left_semi") for p in (one, two))
-        found = matches.where((F.col("left_period") == one) & (F.col("right_period") == two))
-        out[one, two] = unmatched(left, right, found, keys)
-    return out
+def _planned(periods: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Students of the left and of the right period of every compared pair, and the keys with the pair among them: all pairs are one job."""
+    rows, pair = _students(periods), ["left_period", "right_period"]
+    plan = comparison_plan(periods, keys).select(*keys, *pair)
+    left, right = (rows.join(plan, keys).where(F.col("period") == F.col(p)).select(*keys, *pair, "row_number", "student") for p in pair)
+    return left, right, [*keys, *pair]
 
 
 def residuals(periods: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
     """What is left on both sides of all compared pairs of periods, with the best candidates."""
-    got = None
-    for (one, two), df in residuals_by_pair(periods, matches, keys).items():
-        more = df.select(*keys, F.lit(one).alias("left_period"), F.lit(two).alias("right_period"), "side", "row", "student", "other", "score", "second")
-        got = more if got is None else got.unionByName(more)
-    return got
+    left, right, placed = _planned(periods, keys)
+    return unmatched(left, right, matches, placed)
+
+
+def residuals_by_pair(periods: DataFrame, matches: DataFrame, keys: list[str]) -> dict[tuple[int, int], DataFrame]:
+    """``residuals`` by pair of periods; all come from one result that is kept."""
+    rest = residuals(periods, matches, keys).persist()
+    return {(a, b): rest.where((F.col("left_period") == a) & (F.col("right_period") == b)).drop("left_period", "right_period") for a, b in ((1, 2), (1, 3), (2, 3))}
 
 
 def match_review(periods: DataFrame, matches: DataFrame, keys: list[str], rest: dict[tuple[int, int], DataFrame] | None = None, threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
@@ -414,15 +412,8 @@ def match_review(periods: DataFrame, matches: DataFrame, keys: list[str], rest:
 
 def section_matches(periods: DataFrame, keys: list[str], threshold: float = 90.0, margin: float = 5.0) -> DataFrame:
     """One-to-one matches of periods 1 and 2 and 1 and 3, or 2 and 3 in sections that period 1 lacks."""
-    rows = _students(periods)
-    bare = _sections(periods, keys).where("has_1 = 0").select(*keys)
-    rest = rows.join(bare, keys, "left_semi")
-    got = None
-    for one, two, source in ((1, 2, rows), (1, 3, rows), (2, 3, rest)):
-        found = match_periods(source.where(F.col("period") == one), source.where(F.col("period") == two), keys, threshold, margin)
-        found = found.where("method <> 'Doubt'").select(*keys, F.lit(one).alias("left_period"), F.lit(two).alias("right_period"), "left_row", "right_row", "score", "method")
-        got = found if got is None else got.unionByName(found)
-    return got
+    left, right, placed = _planned(periods, keys)
+    return match_periods(left, right, placed, threshold, margin)
 
 
 def matched_reconciliation(periods: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:

@@ -437,7 +437,7 @@ def section_sheet(spark, sf_dir):
 
 def unmatched_candidates(spark, sf_dir):
     p, found = _tracked(spark, sf_dir)
-    return tracking.residuals(p, found, SECTION)
+    return tracking.residuals(p, found, SECTION).drop("other_second")
 
 
 def later_rows(spark, sf_dir):
@@ -452,7 +452,7 @@ def match_review(spark, sf_dir):
 
 def tracking_overview(spark, sf_dir):
     p, found = _tracked(spark, sf_dir)
-    rest = {pair: df.persist() for pair, df in tracking.residuals_by_pair(p, found, SECTION).items()}
+    rest = tracking.residuals_by_pair(p, found, SECTION)
     later = reports.later_rows(rest, p.select(*SECTION, "period", F.col("row_number").alias("row"), "student"), SECTION)
     issues = tracking.match_review(p, found, SECTION, rest).select("status").unionByName(data_issues(spark, sf_dir).select("status"))
     repeated = duplicates.repeated_names(p.where("student <> ''"), ["period", *SECTION], "student", "student", "row_number")
