@@ -526,7 +526,7 @@ QUERIES = {
         section_reconciliation, student_exceptions, overview_metrics, label_clusters,
         section_reconciliation_matched, student_exceptions_matched, overview_metrics_matched, match_report, mismatch_report, candidates_report,
         legacy_report, legacy_advice, legacy_mismatch, mismatch_cohort, baseline_red, period_faults, data_issues, comparison_plan, section_sheet,
-        unmatched_candidates, later_rows, match_review, tracking_overview, institution_ids, scan_counts, missing_by_sheet, missing_entries,
+        unmatched_candidates, institution_ids, scan_counts, missing_by_sheet, missing_entries,
         text_evidence, sheet_lookup, roster_problems,
     )
 }

@@ -8,4 +8,4 @@ from rosterline.plans.queries import QUERIES
 from rosterline.streaming.events import STREAM_ORACLES, STREAM_QUERIES
 
 QUERIES = QUERIES | layout_queries.QUERIES | STREAM_QUERIES
-ORACLES = ORACLES | layout_queries.ORACLES | STREAM_ORACLES
+ORACLES = {name: sql for name, sql in (ORACLES | layout_queries.ORACLES | STREAM_ORACLES).items() if name in QUERIES}
