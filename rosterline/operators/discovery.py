@@ -20,12 +20,23 @@ def keyword(name: F.Column) -> F.Column:
 
 
 def keyword_hits(units: DataFrame, keywords: DataFrame, text: str = "text", word: str = "keyword") -> DataFrame:
-    """Units that hold a keyword as whole words; ``keywords`` is joined on its first word, then tested in full."""
-    first = keywords.withColumn("__first", F.element_at(F.split(F.trim(word), " "), 1))
-    padded = units.withColumn("__padded", searchable(text))
-    words = padded.withColumn("__first", F.explode(F.array_distinct(F.split(F.trim("__padded"), " "))))
-    found = words.join(first, "__first").where(F.contains(F.col("__padded"), F.concat(F.lit(" "), F.col(word), F.lit(" "))))
-    return found.drop("__first", "__padded")
+    """Units that hold a keyword as whole words.
+
+    The distinct runs of words of a unit, as long as any keyword, are looked up among the ``keywords``, which go to every
+    executor: no text is dealt anew or put beside each of its words, only hits leave a task.
+    """
+    words = F.split(F.trim(searchable(text)), " ")
+    lengths = [n for (n,) in keywords.where(F.col(word).isNotNull()).select(F.size(F.split(word, " "))).distinct().collect()]
+
+    def runs_of(n: int) -> F.Column:
+        if n == 1:
+            return F.col("__words")
+        starts = F.when(F.size("__words") >= n, F.sequence(F.lit(1), F.size("__words") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice("__words", i, n), " "))
+
+    runs = F.array_distinct(F.concat(*map(runs_of, sorted(lengths or [1]))))
+    found = units.withColumn("__words", words).withColumn("__run", F.explode(runs)).drop("__words")
+    return found.join(F.broadcast(keywords), F.col("__run") == F.col(word)).drop("__run")
 
 
 def candidate_locations(hits: DataFrame, keys: list[str], number: str, word: str = "row") -> DataFrame:

@@ -185,6 +185,16 @@ def test_units_and_candidates(spark, tmp_path):
     assert [r["location"] for r in discovery.candidate_locations(hits.where("kind = 'excel'"), ["path", "keyword"], "number").collect()] == ["rows 3-4; row 6"]
 
 
+def test_keywords_move_no_text(spark):
+    units = spark.createDataFrame([(1, "The end of the of the day"), (2, ""), (3, None), (4, "of a-the, DE LA mer"), (5, "the")], "n long, text string")
+    words = spark.createDataFrame([("the",), ("of the",), ("of the day",), ("de la",), ("",), (" the",), ("of  the",), (None,)], "keyword string")
+    hits = discovery.keyword_hits(units, words)
+    assert sorted((r["n"], r["keyword"]) for r in hits.collect()) == [(1, "of the"), (1, "of the day"), (1, "the"), (2, ""), (4, "de la"), (4, "the"), (5, "the")]
+    assert discovery.keyword_hits(units, words.limit(0)).count() == 0
+    plan = hits.select("n", "keyword")._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and "BuildRight" in plan
+
+
 def test_extraction_rules():
     page = "MERKEZ / ATATÜRK İLKOKULU MÜDÜRLÜĞÜ\n3. Sınıf / B Şubesi\n1 12 Ali Can ÇOK İYİ İYİ\n2 13 Veli İYİ\n3 14 Öğrenci Adı İYİ"
     assert extraction.header_info(page) == {"district": "MERKEZ", "school": "ATATÜRK İLKOKULU", "class_no": "3", "section": "B"}
