@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rosterline.functions.similarity import scored_pairs, sorted_ratio
-from rosterline.operators.nearest import SIDE_ROWS, Side, best_two, candidate_pairs, in_blocks, similar_pairs
+from rosterline.operators.nearest import Side, best_two, candidate_pairs, in_blocks, similar_pairs
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Policy:
 _RANKED = "district string, school string, r_district string, r_school string, exact int, worse double, mean double, school_score double, district_score double, first_row long, eligible int"
 
 
-def _best_locations(wanted: DataFrame, locations: DataFrame, threshold: float, rows: int) -> DataFrame:
+def _best_locations(wanted: DataFrame, locations: DataFrame, threshold: float, rows: int | None) -> DataFrame:
     """For each wanted location the best of a block of ``locations`` at all and the best that is eligible.
 
     What is rated first is the worse of two scores, so its bound is the worse of two bounds; the search ends where that
@@ -64,7 +64,7 @@ def _best_locations(wanted: DataFrame, locations: DataFrame, threshold: float, r
     return in_blocks(wanted, renamed, [], "school", "first_row", work, _RANKED, rows)
 
 
-def resolve_locations(source: DataFrame, roster: DataFrame, policy: Policy = Policy(), rows: int = SIDE_ROWS) -> DataFrame:
+def resolve_locations(source: DataFrame, roster: DataFrame, policy: Policy = Policy(), rows: int | None = None) -> DataFrame:
     """One row per distinct source location: accepted, the resolved or else the best location, both scores, reason.
 
     A location that is in the roster as it stands resolves by an equi-join; only the rest are compared,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 from rosterline.functions import evidence
@@ -44,6 +45,27 @@ def test_best_is_the_best(text, names):
         assert sorted(held.reaching(60.0)) == [(k, rule(text, n)) for k, n in enumerate(names) if rule(text, n) >= 60]
 
 
+@given(st.text("abcdeğİı ", max_size=150), NAMES)
+def test_letter_bounds_are_never_too_low(text, names):
+    texts = nearest.Texts(names)
+    assert (texts.quick_bounds(text) >= texts.bounds(text)).all()
+    assert (texts.quick_bounds(text, np.arange(len(names))) == texts.quick_bounds(text)).all()
+
+
+def test_letters_rule_most_pairs_out(monkeypatch):
+    rng = random.Random(5)
+    names = [" ".join("".join(rng.choice("bcdfghjkaeioulmn") for _ in range(6)) for _ in range(4)) for _ in range(2000)]
+    looked, common = [], nearest.Texts.common
+    monkeypatch.setattr(nearest.Texts, "common", lambda self, text, which=None: looked.append(self.places.shape[1] if which is None else len(which)) or common(self, text, which))
+    side = nearest.Side(names)
+    for k in range(0, 200, 10):
+        for text in (names[k], names[k][:20], names[k][:13], names[k][7:] + " " + names[k][:6]):
+            held = side.against(text)
+            assert [j for j, _ in held.reaching(90.0)] == ([k] if text == names[k] else [])
+            assert held.best(1, lambda j: (-j,)) == [k]
+    assert sum(looked) < 0.1 * 80 * len(names)
+
+
 def test_all_evidence_is_among_the_tellers():
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abc") for _ in range(rng.choice((1, 1, 2, 3, 6))))
