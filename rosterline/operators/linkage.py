@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rosterline.functions.similarity import scored_pairs, sorted_ratio
-from rosterline.operators.nearest import Side, best_two, candidate_pairs, in_blocks, similar_pairs
+from rosterline.operators.nearest import Side, best_two, by_text, candidate_pairs, in_blocks, similar_pairs
 
 
 @dataclass(frozen=True)
@@ -251,11 +251,21 @@ def legacy_advice(source: DataFrame, roster: DataFrame, classified: DataFrame, s
     return open_rows.join(best, "src_row", "left").select("src_row", (-F.col("b.back")).alias("best_row"), score.alias("best_score"), reason.alias("reason"))
 
 
+#: Rows to be advised that meet in one task: the searched side is dealt to all of their blocks.
+ADVISED_ROWS = 16_000
 _ADVISED = "src_row long, best_row long, best_score double, place double"
 
 
+def _word_scores(rows: DataFrame, people: DataFrame, keys: list[str]) -> DataFrame:
+    """(src_row, least): the score of the best of some names that share a word with a row's, one per word; a row's best name has this at least."""
+    words = lambda c: F.explode(F.array_distinct(F.split(c, " ")))
+    first = people.select(*keys, "r_student", words("r_student").alias("__word")).groupBy(*keys, "__word").agg(F.min("r_student").alias("__name"))
+    pairs = rows.select(*keys, "src_row", "student", words("student").alias("__word")).where("__word <> ''").join(first, [*keys, "__word"])
+    return scored_pairs(pairs, "student", "__name", "least", "sorted").groupBy("src_row").agg(F.max("least").alias("least"))
+
+
 def _advised(rows: DataFrame, people: DataFrame, keys: list[str]) -> DataFrame:
-    """Best name per row and pair of blocks, with the score of its location."""
+    """Best name per row and pair of blocks, with the score of its location; a block with nothing as good as ``_word_scores`` gives none."""
 
     def work(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         numbers, districts, schools = b["r_row"].tolist(), b["r_district"].tolist(), b["r_school"].tolist()
@@ -267,15 +277,19 @@ def _advised(rows: DataFrame, people: DataFrame, keys: list[str]) -> DataFrame:
                 known[at] = sorted_ratio(district, districts[k]) * 0.35 + sorted_ratio(school, schools[k]) * 0.65
             return known[at]
 
-        for text, group in a.groupby("student", sort=False):
+        for text, group in by_text(a, "student", "src_row", "district", "school", "least"):
             held = side.against(text)
-            for row, district, school in zip(group["src_row"].tolist(), group["district"], group["school"], strict=True):
-                for k in held.best(1, lambda k: (place(district, school, k), -numbers[k])):  # noqa: B023
+            for row, district, school, least in group:
+                for k in held.best(1, lambda k: (place(district, school, k), -numbers[k]), least=least):  # noqa: B023
                     out.append((row, numbers[k], held.score(k), place(district, school, k)))
         return pd.DataFrame(out, columns=[c.split()[0] for c in _ADVISED.split(", ")])
 
-    own = rows if "r_district" in keys else rows.drop("r_district", "r_school")
-    return in_blocks(own, people, keys, "src_row", "r_row", work, _ADVISED)
+    if "r_district" in keys:
+        own = rows.withColumn("least", F.lit(0.0))
+    else:
+        own = rows.drop("r_district", "r_school")
+        own = own.join(_word_scores(own, people, keys), "src_row", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    return in_blocks(own, people, keys, "src_row", "r_row", work, _ADVISED, left_rows=ADVISED_ROWS)
 
 
 def unique_best(pairs: DataFrame, keys: list[str], candidate: str, score: str, threshold: float, margin: float) -> DataFrame:

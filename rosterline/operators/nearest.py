@@ -213,6 +213,8 @@ class Against:
         quick = self.quick if among is None else self.quick[among]
         held: list[tuple] = []
         floor, before = float(quick.max(initial=0.0)), np.inf
+        if floor < least:
+            return []
         while len(quick) and before > least and not (len(held) == count and held[-1][0] >= before):
             fresh = np.flatnonzero((quick >= floor) & (quick < before))
             fresh = fresh if among is None else among[fresh]
@@ -228,13 +230,13 @@ class Against:
         return [k for _, _, k in held]
 
 
-def in_blocks(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, rows: int | None = None) -> DataFrame:
+def in_blocks(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, rows: int | None = None, left_rows: int = SIDE_ROWS) -> DataFrame:
     """``work`` on every pair of blocks of the rows of ``left`` and ``right`` that agree in ``keys``.
 
-    Groups of up to ``rows`` rows (``SIDE_ROWS`` and ``OTHER_ROWS``) are one block, larger ones are dealt into several by a hash of
+    Groups of up to ``rows`` rows (``left_rows`` and ``OTHER_ROWS``) are one block, larger ones are dealt into several by a hash of
     their id. Every pair of rows with equal keys meets exactly once. Keys without rows on both sides do not come up.
     """
-    sides = (rows or SIDE_ROWS, rows or OTHER_ROWS)
+    sides = (rows or left_rows, rows or OTHER_ROWS)
     sizes = left.groupBy(*keys).agg(F.count("*").alias("__l")).join(right.groupBy(*keys).agg(F.count("*").alias("__r")), keys) if keys else None
     if sizes is None:
         sizes = left.agg(F.count("*").alias("__l")).crossJoin(right.agg(F.count("*").alias("__r")))
@@ -253,7 +255,7 @@ def in_blocks(left: DataFrame, right: DataFrame, keys: list[str], left_id: str,
     return one.cogroup(two).applyInPandas(lambda a, b: work(a, b) if len(a) and len(b) else _none(schema), schema)
 
 
-def _by_text(part: pd.DataFrame, text: str, *columns: str) -> Iterable[tuple[str, list[tuple]]]:
+def by_text(part: pd.DataFrame, text: str, *columns: str) -> Iterable[tuple[str, list[tuple]]]:
     """Every text with the values of ``columns`` of its rows."""
     found: dict[str, list[tuple]] = {}
     for t, *row in zip(part[text].tolist(), *[part[c].tolist() for c in columns], strict=True):
@@ -270,7 +272,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_id: s
 
     def work(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         side, ids, own, out = Side(b[right_text].tolist(), kind), b[right_id].tolist(), tuple(a[keys].iloc[0]), []
-        for text, group in _by_text(a, left_text, left_id):
+        for text, group in by_text(a, left_text, left_id):
             found = side.against(text).reaching(floor)
             out += [(*own, row, ids[k], s) for (row,) in group for k, s in found]
         return pd.DataFrame(out, columns=[*keys, left_id, right_id, "score"])
@@ -305,7 +307,7 @@ def best_rows(left: DataFrame, right: DataFrame, keys: list[str], kind: str = "r
     def work(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         numbers, own, out = b["row"].tolist(), tuple(a[keys].iloc[0]), []
         side = Side(b["text"].tolist(), kind, turned)
-        for text, group in _by_text(a, "text", "row"):
+        for text, group in by_text(a, "text", "row"):
             held = side.against(text)
             top = held.best(2, lambda k: (-numbers[k],))
             out += [(*own, row, numbers[k], held.score(k)) for (row,) in group for k in top]
@@ -407,7 +409,7 @@ def candidate_pairs(source: DataFrame, roster: DataFrame, keys: list[str], floor
         names, sections, numbers = (b[c].tolist() for c in ("r_student", "r_section", "r_row"))
         side, parts, out = Side(names, kind), Tellers(names, telling) if telling is not None else None, []
         of_section: dict[str, np.ndarray] = {s: np.flatnonzero(b["r_section"].to_numpy() == s) for s in set(sections)}
-        for text, mine_rows in _by_text(a, "student", "src_row", "section"):
+        for text, mine_rows in by_text(a, "student", "src_row", "section"):
             held = side.against(text)
             found = dict(held.reaching(floor))
             tells = set(parts.of(text).tolist()) if parts else set()

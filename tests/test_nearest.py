@@ -66,6 +66,24 @@ def test_letters_rule_most_pairs_out(monkeypatch):
     assert sum(looked) < 0.1 * 80 * len(names)
 
 
+def test_best_from_a_known_score_on_looks_at_less(monkeypatch):
+    rng = random.Random(6)
+    names = [" ".join("".join(rng.choice("bcdfghjkaeioulmn") for _ in range(6)) for _ in range(4)) for _ in range(1000)]
+    side, looked, common = nearest.Side(names[1:], "sorted"), [], nearest.Texts.common
+    held = side.against(names[0])
+    best = held.best(1, lambda j: (-j,))
+    assert held.best(1, lambda j: (-j,), least=held.score(best[0])) == best
+    monkeypatch.setattr(nearest.Texts, "common", lambda self, text, which=None: looked.append(1) or common(self, text, which))
+    assert side.against(names[0]).best(1, lambda j: (-j,), least=95.0) == [] and not looked
+
+
+def test_advice_starts_from_shared_words(spark):
+    rows = spark.createDataFrame([(1, "k", "ab cd"), (2, "k", "zz"), (3, "k", ""), (4, "l", "ab")], "src_row long, section string, student string")
+    people = spark.createDataFrame([("k", "ab ce"), ("k", "xx cd ab"), ("l", "ac")], "section string, r_student string")
+    got = {r["src_row"]: r["least"] for r in linkage._word_scores(rows, people, ["section"]).collect()}
+    assert got == {1: max(sorted_ratio("ab cd", n) for n in ("ab ce", "xx cd ab"))}
+
+
 def test_all_evidence_is_among_the_tellers():
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abc") for _ in range(rng.choice((1, 1, 2, 3, 6))))
