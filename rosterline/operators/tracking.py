@@ -17,6 +17,7 @@ from rosterline.functions.normalize import label_key, loose_key, normalised
 from rosterline.functions.similarity import label_ratio
 from rosterline.operators.nearest import Side, best_rows, possible_pairs, similar_pairs
 from rosterline.operators.relational import numbered
+from rosterline.operators.scratch import written
 
 LABELS = {1: "1st Semester 3rd Grade", 2: "2nd Semester 3rd Grade", 3: "4th Grade"}
 EXPECTED_GRADES = {1: 3, 2: 3, 3: 4}
@@ -284,15 +285,16 @@ def unmatched(left: DataFrame, right: DataFrame, matches: DataFrame, keys: list[
     """(keys, side, row, student, other, score, second, other_second) of what ``matches`` leaves on both sides of two periods.
 
     ``other`` is the best row left on the other side, the first of equals, null where none is left; ``second`` is the
-    next best score of the row itself, ``other_second`` that of its candidate.
+    next best score of the row itself, ``other_second`` that of its candidate. What is read several times is written, so
+    that no plan holds what came before it more than once.
     """
     rest = {
-        side: df.join(matches.select(*keys, F.col(f"{side}_row").alias("row_number")), [*keys, "row_number"], "left_anti").select(*keys, F.col("row_number").alias("row"), F.col("student").alias("text")).persist()
+        side: written(df.join(matches.select(*keys, F.col(f"{side}_row").alias("row_number")), [*keys, "row_number"], "left_anti").select(*keys, F.col("row_number").alias("row"), F.col("student").alias("text")))
         for side, df in (("left", left), ("right", right))
     }
     best = {
-        "left": best_rows(rest["left"], rest["right"], keys, "label").persist(),  # each is read for its own side and for the other
-        "right": best_rows(rest["right"], rest["left"], keys, "label", turned=True).persist(),
+        "left": written(best_rows(rest["left"], rest["right"], keys, "label")),  # each is read for its own side and for the other
+        "right": written(best_rows(rest["right"], rest["left"], keys, "label", turned=True)),
     }
     got = None
     for side, across in (("left", "right"), ("right", "left")):

@@ -9,6 +9,7 @@ from rosterline.functions import evidence as ev
 from rosterline.functions.normalize import normalised_once
 from rosterline.functions.similarity import scored_pairs
 from rosterline.operators import discovery, duplicates, linkage, missing, relational, reports, review, tracking
+from rosterline.operators.scratch import written
 from rosterline.plans.fixtures import derived, load
 
 PLACE = ["district", "school"]
@@ -426,8 +427,8 @@ def comparison_plan(spark, sf_dir):
 
 
 def _tracked(spark, sf_dir):
-    p = derived(spark, sf_dir, "tracked")
-    return p, tracking.section_matches(p, SECTION).persist()  # read several times by what follows
+    p = written(derived(spark, sf_dir, "tracked"))
+    return p, written(tracking.section_matches(p, SECTION))  # both are read several times by what follows
 
 
 def section_sheet(spark, sf_dir):

@@ -134,3 +134,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["merge", str(tmp_path / "books"), str(tmp_path / "merged.xlsx")], spark) == 0
     assert xlsx.read_xlsx(spark, str(tmp_path / "merged.xlsx")).count() == 9
     assert "error:" in capsys.readouterr().err
+
+
+def test_unmatched_candidates_read_written_tables(spark):
+    from rosterline.plans import queries
+
+    got = queries.unmatched_candidates(spark, "/root/testdata/sf0.001")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # once every table on the way stood in the plan again wherever it was read
+    assert len(plan.splitlines()) < 100 and "InMemoryRelation" not in plan
+    assert set(got.columns) >= {"side", "row", "student", "other", "score", "second"}
