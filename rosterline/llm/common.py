@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +16,60 @@ from rosterline.operators.scratch import drop_written, scratch_path, shared_fold
 
 #: Bytes of text that a Python worker works on at once; one longer text is a piece of its own.
 PIECE_BYTES = 8 << 20
+#: Arrow batches of a session that runs all stages in one set of executors.
+BATCH_BYTES = 4 << 20
+_KEPT: dict[Any, Any] = {}
+
+
+def kept(name: Any, make: Callable[[], Any]) -> Any:
+    """What this Python worker keeps from task to task under ``name``; what it kept for another operator goes first."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def give_back() -> None:
+    """Hands memory that Arrow and the C library hold but do not use back to the system; workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], name: Any = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` in a worker that keeps nothing but what is under ``name`` and hands back the rest before and after."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [k for k in _KEPT if k != name]
+        for k in others:
+            del _KEPT[k]
+        if others:
+            give_back()
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
+def lean(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """From now on the session's Arrow batches have at most ``size`` bytes; a lower limit stays.
+
+    A batch stands in the executor and in the worker at once, on its way in and out, for every task. The limit is the
+    session's because what a stage returns is only worked out after it has returned.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= size:
+        spark.conf.set(name, f"{size}b")
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
-    """Arrow batches of at most ``size`` for the jobs inside, which hold several rows of long lists at once."""
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
+    """Arrow batches of at most ``size`` bytes, or fewer where the session has less, for the jobs inside, which hold several rows of long lists at once."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name, None)
-    spark.conf.set(name, size)
+    lean(spark, size)
     try:
         yield
     finally:

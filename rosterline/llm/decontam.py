@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import table, text_pieces
+from rosterline.llm.common import table, text_pieces, tidy
 
 #: Words of a unit at most; a passage is twice as long and starts every so many words, so it holds any unit whole.
 UNIT_WORDS = 64
@@ -282,7 +282,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
                     names = ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap", "first_word"]
                     yield pa.RecordBatch.from_arrays([ids, *rest], names=names)
 
-        more = rows.mapInArrow(run, LEAKS)
+        more = rows.mapInArrow(tidy(run), LEAKS)
         found = more if found is None else found.unionByName(more)
     return found
 
@@ -303,7 +303,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text",
                 clean[[r[0] for r in matcher.leaks([t or "" for t in piece.column(at).to_pylist()])]] = False
                 yield piece.filter(pa.array(clean))
 
-        kept = kept.mapInArrow(run, docs.schema)
+        kept = kept.mapInArrow(tidy(run), docs.schema)
     return kept
 
 

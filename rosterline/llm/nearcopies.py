@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import components, drop_written, runs, small_batches, split_hot, starts_of, text_pieces, unused, written
+from rosterline.llm.common import components, drop_written, runs, small_batches, split_hot, starts_of, text_pieces, tidy, unused, written
 from rosterline.llm.simhash import _LOWER, _WORDS, MAX_DIFFERENT_BITS, fingerprint, first_of_groups, near_links
 
 SHINGLE_WORDS = 5
@@ -83,7 +83,7 @@ def signatures(rows: DataFrame, id_column: str, text_column: str, words: int = S
             yield pa.RecordBatch.from_arrays([piece.column(0), *columns], names=["row", "h1", "h2", "n", "fp", "keys"])
 
     text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
-    return rows.select(F.col(id_column).alias("row"), text).mapInArrow(run, "row long, h1 long, h2 long, n long, fp long, keys array<long>")
+    return rows.select(F.col(id_column).alias("row"), text).mapInArrow(tidy(run), "row long, h1 long, h2 long, n long, fp long, keys array<long>")
 
 
 def index_pairs(classes: DataFrame, max_bits: int = MAX_DIFFERENT_BITS) -> DataFrame:
@@ -108,7 +108,7 @@ def shingle_sets(texts: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
             each = [hashes_of(shingles(words_of(t.as_py()), words)).view(np.int64) for t in piece.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(each, pa.list_(pa.int64()))], names=["row", "shingles"])
 
-    return texts.select("row", "text").mapInArrow(run, "row long, shingles array<long>")
+    return texts.select("row", "text").mapInArrow(tidy(run), "row long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
@@ -123,7 +123,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = MIN_SIMILARITY) -
 
     one, two = (sets.select(F.col("row").alias(side), F.col("shingles").alias(f"{side}_set")) for side in ("src", "dst"))
     both = pairs.join(one, "src").join(two, "dst")
-    return both.select("src", "dst", "src_set", "dst_set").mapInArrow(run, "src long, dst long")
+    return both.select("src", "dst", "src_set", "dst_set").mapInArrow(tidy(run), "src long, dst long")
 
 
 def compared_in_place(opened: DataFrame, sets: DataFrame, signs: DataFrame, least: float = MIN_SIMILARITY, cap: int = BUCKET_CAP) -> DataFrame:
@@ -166,7 +166,7 @@ def compared_in_place(opened: DataFrame, sets: DataFrame, signs: DataFrame, leas
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out]), pa.array([max(p) for p in out])], names=["src", "dst"])
 
-    return placed.select(*order, "row", "band", "component", "blk", "keys", "shingles").mapInArrow(run, "src long, dst long")
+    return placed.select(*order, "row", "band", "component", "blk", "keys", "shingles").mapInArrow(tidy(run), "src long, dst long")
 
 
 def similar_links(buckets: DataFrame, sets: DataFrame, signs: DataFrame, links: DataFrame | None = None, least: float = MIN_SIMILARITY, small: int = SMALL, rounds: int = LEADER_ROUNDS, cap: int = BUCKET_CAP) -> DataFrame | None:

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import table, text_pieces
+from rosterline.llm.common import kept, table, text_pieces, tidy
 
 SEQUENCE_TOKENS = 1024
 MAX_SEGMENTS = 64
@@ -121,10 +120,9 @@ class BpeBytes:
             return self._ids(text)
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str | None) -> BpeBytes:
-    """One per worker process; Spark reuses the process for further tasks."""
-    return BpeBytes(path)
+    """One per worker process; Spark reuses the process for further tasks, and the next operator there lets it go."""
+    return kept((__name__, path), lambda: BpeBytes(path))
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long"
@@ -152,7 +150,7 @@ def cut_pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
                         held.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens"])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text).mapInArrow(tidy(run, (__name__, path)), PIECES)
 
 
 def dot_product_bins(sizes: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +287,7 @@ def cut_turns(conversations: DataFrame, id_column: str = "conv_id", turn_column:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=[c.split()[0] for c in EXAMPLES.split(", ")])
 
     rows = conversations.select(F.col(id_column).cast("long").alias("conv_id"), text, F.col(turn_column).cast("long").alias("turn"), bears)
-    return rows.mapInArrow(run, EXAMPLES)
+    return rows.mapInArrow(tidy(run, (__name__, path)), EXAMPLES)
 
 
 def pack_conversations(conversations: DataFrame, tokens: int = SEQUENCE_TOKENS, segments: int = MAX_SEGMENTS, loss: int = SEQUENCE_TOKENS // 2, path: str | None = None, **columns: str) -> DataFrame:

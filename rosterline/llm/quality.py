@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import table, text_pieces, unused
+from rosterline.llm.common import kept, table, text_pieces, tidy, unused
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 18, 1 << 12
 #: Labelled rows the model is fitted on at most; which ones, a hash of the id decides.
@@ -58,9 +57,8 @@ class _Features(dict):
         return got
 
 
-@lru_cache(maxsize=1)
 def _features() -> _Features:
-    return _Features()
+    return kept(__name__, _Features)
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +173,7 @@ def fit_documents(docs: DataFrame, ratings: DataFrame, grades: int = GRADES, row
                 names=["doc_id", "grade", "at", "value"],
             )
 
-    got = rated.mapInArrow(run, "doc_id long, grade int, at array<int>, value array<float>").toArrow()
+    got = rated.mapInArrow(tidy(run, __name__), "doc_id long, grade int, at array<int>, value array<float>").toArrow()
     # rows that repeat an id are all used; the order does not depend on the tasks
     got = got.sort_by("doc_id")
     grade = got.column("grade").to_numpy()
@@ -207,7 +205,7 @@ def score(docs: DataFrame, model: OrdinalModel, columns: list[str], text_column:
                 [*piece.columns[:-1], *map(pa.array, added)], names=[*columns, "expected_grade", "p_tail", "grade", "kept"]
             )
 
-    return rows.mapInArrow(run, f"{schema}, {SCORES}")
+    return rows.mapInArrow(tidy(run, __name__), f"{schema}, {SCORES}")
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel, text_column: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
@@ -225,7 +223,7 @@ def keep_good(docs: DataFrame, model: OrdinalModel, text_column: str = "text", m
             sums = own.sums([features(t or "") for t in piece.column(at).to_pylist()])
             yield piece.filter(pa.array(own.keeps(own.tails(sums), min_tail)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run, __name__), docs.schema)
 
 
 def rate_documents(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:

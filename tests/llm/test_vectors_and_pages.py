@@ -13,8 +13,9 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
-from rosterline.llm import decontam, embedding, pii, warc
+from rosterline.llm import common, decontam, embedding, packing, pii, quality, warc
 
 
 def test_vectors_equal_brute_force(spark):
@@ -173,6 +174,38 @@ def test_text_agrees_with_a_parser(spark):
         assert squeeze(warc.plain_text(r["html"])) == squeeze("".join(parser.out)), html.unescape(r["url"])
 
 
+def test_stages_bound_arrow_batches(spark):
+    name, sf = "spark.sql.execution.arrow.maxBytesPerBatch", "/root/testdata/sf0.001"
+    before = spark.conf.get(name)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    try:
+        for label, stage in corpus_pipeline.STAGES:
+            if label == "personal_data":
+                continue
+            spark.conf.set(name, "64m")
+            stage(spark, docs, sf)
+            rows = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', 10000) AS text")
+            sizes = rows.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
+            assert max(r["n"] for r in sizes) <= 2 * common.BATCH_BYTES and len(sizes) > 1, label
+        spark.conf.set(name, "1m")
+        common.lean(spark)
+        with common.small_batches(spark):
+            assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_worker_keeps_the_words_of_one_operator():
+    for _ in range(2):
+        quality.features("some words here")
+        assert [*common._KEPT] == [quality.__name__] and "words" in common._KEPT[quality.__name__]
+        packing.encoder(None)("some words here")
+        assert [*common._KEPT] == [(packing.__name__, None)]
+    assert packing.encoder(None) is packing.encoder(None)
+    assert [*common.tidy(iter, (packing.__name__, None))([1, 2])] == [1, 2] and common._KEPT
+    assert [*common.tidy(iter)([1, 2])] == [1, 2] and not common._KEPT
+
+
 def test_pipeline_stages_hold(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
